@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lastcol.functions import chars, encoded_run_bytes
-from lastcol.plans.segments import ordered_runs
+from lastcol.plans.segments import floor_join, ordered_runs
 
 # Fixed value: checkpoint spacing (the reference samples counts every 600 encoded bytes).
 CHUNK = 600
@@ -93,10 +93,12 @@ def symbol_histogram(symbols_df: DataFrame, by: list[str] | str = "block_id",
     One row per distinct symbol per group reaches the window, so its
     partitions are bounded by the alphabet.
     """
-    by = [by] if isinstance(by, str) else list(by)
+    by = [by] if isinstance(by, str) else list(by or [])
     amount = F.col(weight) if weight else F.lit(1)
     counts = symbols_df.groupBy(*by, symbol).agg(F.sum(amount).cast("long").alias("cnt"))
-    w = Window.partitionBy(*by).orderBy(symbol).rowsBetween(Window.unboundedPreceding, -1)
+    # Without ``by`` the window holds one row per distinct symbol (the alphabet).
+    w = (Window.partitionBy(*by) if by else Window).orderBy(symbol) \
+        .rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("cnt_smaller", F.coalesce(F.sum("cnt").over(w), F.lit(0)).cast("long"))
 
 
@@ -130,16 +132,16 @@ def block_checkpoints(runs: DataFrame, chunk: int = CHUNK) -> DataFrame:
                     F.coalesce(F.sum("n").over(w), F.lit(0)).cast("long").alias("cnt_before")))
 
 
-def symbol_at(runs: DataFrame, positions: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def symbol_at(runs: DataFrame, positions: DataFrame) -> DataFrame:
     """``(block_id, pos, symbol)`` for query positions, without decoding.
 
-    Equi-join on ``(block_id, chunk)`` then a range test, so a query meets
-    only the runs of its own chunk.
+    A floor join of each position on the run starts of its block (the last
+    run starting at or before it), then a bound check.
     """
-    q = positions.select("block_id", "pos", F.floor(F.col("pos") / chunk).cast("long").alias("chunk_no"))
-    p = chunk_pieces(runs, chunk)
-    return (q.join(p, ["block_id", "chunk_no"])
-            .filter((F.col("pos") >= F.col("start_pos")) & (F.col("pos") < F.col("end_pos")))
+    q = positions.select("block_id", F.col("pos").cast("long").alias("pos"))
+    r = runs.select("block_id", F.col("start_pos").cast("long").alias("_start"), "symbol", "run_len")
+    return (floor_join(q, r, "pos", "_start", ["block_id"])
+            .filter(F.col("pos") < F.col("_start") + F.col("run_len"))
             .select("block_id", "pos", "symbol"))
 
 

@@ -14,7 +14,7 @@ import sys
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext, cloudpickle
+from pyspark import StorageLevel, TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +46,15 @@ def _differs(cur: pd.Series, carry_value, has_carry: bool) -> np.ndarray:
     return out
 
 
+def _once(scanned: DataFrame) -> DataFrame:
+    """The scan output is read three times (rows, partition summaries, fix-ups)
+    and partition ids must agree between them.  Range bounds are sampled per
+    execution, so the scan is persisted: every reader then shares one RDD and
+    one partitioner, and a lost block is recomputed through that same
+    lineage.  Spills to disk rather than failing on memory."""
+    return scanned.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def sorted_by_range(df: DataFrame, keys: list[str], order: list[str],
                     partitions: int | None = None) -> DataFrame:
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -122,8 +131,8 @@ def ordered_runs(df: DataFrame, by: list[str], order: list[str], value: str,
         + [T.StructField(c, fields[c]) for c in by]
         + [T.StructField(value, fields[value]), T.StructField("start", fields[order[0]]),
            T.StructField("run_len", T.LongType()), T.StructField("key_idx", T.LongType())])
-    local = sorted_by_range(src, by, order, partitions).mapInPandas(
-        local_runs_fn(by, value, order[0]), schema)
+    local = _once(sorted_by_range(src, by, order, partitions).mapInPandas(
+        local_runs_fn(by, value, order[0]), schema))
 
     key = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("_"))
     ends = local.groupBy("pid").agg(
@@ -162,3 +171,120 @@ def ordered_runs(df: DataFrame, by: list[str], order: list[str], value: str,
                    F.sum("run_len").alias("run_len"))
               .select(*by, "run_no", value, "start", F.col("run_len").cast("long").alias("run_len")))
     return inner.unionByName(merged)
+
+
+def _floor_fn(by: list[str], right_cols: list[str], out_cols: list[str]):
+    """Per partition: for each left row, the last right row at or before it
+    (same ``by``), by a running max of right-row indices per key segment."""
+
+    def scan(batches):
+        pid = TaskContext.get().partitionId()
+        carry = None            # last right row (dict) of the open key segment
+        first_key = None
+        last_key = None
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            pdf = pdf.reset_index(drop=True)
+            if carry is not None:
+                pdf = pd.concat([pd.DataFrame([carry]), pdf], ignore_index=True)
+            n = len(pdf)
+            key_diff = np.zeros(n, dtype=bool)
+            for c in by:
+                key_diff |= _differs(pdf[c], None, False) if n else key_diff
+                key_diff[0] = True
+            seg = np.cumsum(key_diff)
+            is_right = (pdf["_side"] == 0).to_numpy()
+            idx = pd.Series(np.where(is_right, np.arange(n), -1)).groupby(seg).cummax().to_numpy()
+            keys = list(zip(*[pdf[c].tolist() for c in by])) if by else [()] * n
+            if first_key is None:
+                first_key = keys[0] if carry is None else keys[1]
+            left = (~is_right)
+            found = idx >= 0
+            picked = pdf.loc[np.where(found, idx, 0), right_cols].reset_index(drop=True)
+            base = [c for c in out_cols if c not in right_cols and not c.startswith("_")]
+            out = pdf.loc[:, base].copy()
+            for c in by:
+                out["_fk_" + c] = None
+            for c in right_cols:
+                out[c] = picked[c].where(found, None)
+            first_seg = seg == seg[0]
+            in_first = first_seg & np.array([k == first_key for k in keys])
+            out["_need"] = ~found & in_first
+            out["_kind"] = "L"
+            out["_pid"] = pid
+            yield out.loc[left, out_cols]
+            last_key = keys[-1]
+            last_right = idx[-1]
+            if last_right >= 0:
+                carry = pdf.loc[last_right].to_dict()
+            else:
+                carry = None
+        if first_key is not None:
+            summary = {c: None for c in out_cols}
+            summary.update({"_kind": "S", "_pid": pid, "_need": carry is not None})
+            for c, v in zip(by, last_key):
+                summary[c] = v
+            for j, c in enumerate(by):
+                summary["_fk_" + c] = first_key[j]
+            if carry is not None:
+                for c in right_cols:
+                    summary[c] = carry[c]
+            yield pd.DataFrame([summary])[out_cols]
+
+    return scan
+
+
+def floor_join(left: DataFrame, right: DataFrame, left_pos: str, right_pos: str,
+               by: list[str], partitions: int | None = None) -> DataFrame:
+    """O13 as-of join: each left row with the last right row (same ``by``)
+    whose ``right_pos <= left_pos``; right columns are null when there is none.
+
+    Output: left columns, then right columns other than ``by``.  Column names
+    other than ``by`` must not collide.
+    """
+    by = list(by)
+    if not by:
+        raise ValueError("floor_join needs at least one key column")
+    r_payload = [c for c in right.columns if c not in by]
+    clash = set(r_payload) & set(c for c in left.columns if c not in by)
+    if clash:
+        raise ValueError(f"rename colliding columns first: {sorted(clash)}")
+    l_payload = [c for c in left.columns if c not in by]
+    ltypes = {f.name: f.dataType for f in left.schema.fields}
+    rtypes = {f.name: f.dataType for f in right.schema.fields}
+    pos_type = ltypes[left_pos]
+    lsel = ([F.col(c) for c in by] + [F.col(left_pos).alias("_pos"), F.lit(1).alias("_side")]
+            + [F.col(c) for c in l_payload] + [F.lit(None).cast(rtypes[c]).alias(c) for c in r_payload])
+    rsel = ([F.col(c) for c in by] + [F.col(right_pos).cast(pos_type).alias("_pos"), F.lit(0).alias("_side")]
+            + [F.lit(None).cast(ltypes[c]).alias(c) for c in l_payload] + [F.col(c) for c in r_payload])
+    both = left.select(*lsel).unionByName(right.select(*rsel))
+    out_cols = by + l_payload + r_payload + ["_need", "_kind", "_pid"] + ["_fk_" + c for c in by]
+    schema = T.StructType(
+        [T.StructField(c, ltypes[c]) for c in by] + [T.StructField(c, ltypes[c]) for c in l_payload]
+        + [T.StructField(c, rtypes[c]) for c in r_payload]
+        + [T.StructField("_need", T.BooleanType()), T.StructField("_kind", T.StringType()),
+           T.StructField("_pid", T.IntegerType())]
+        + [T.StructField("_fk_" + c, ltypes[c]) for c in by])
+    scanned = _once(sorted_by_range(both, by, ["_pos", "_side"], partitions).mapInPandas(
+        _floor_fn(by, r_payload, out_cols), schema))
+    key = F.struct(*[F.col(c) for c in by])
+    first_key = F.struct(*[F.col("_fk_" + c).alias(c) for c in by])
+    payload = F.struct(*[F.col(c) for c in r_payload])
+    # One summary row per partition: the window below is partition-sized.
+    w = Window.orderBy("_pid")
+    ends = (scanned.filter(F.col("_kind") == "S")
+            .select("_pid", key.alias("_lk"), first_key.alias("_fk"),
+                    F.when(F.col("_need"), payload).alias("_lr"))
+            .withColumn("_acc", F.last("_lr", ignorenulls=True).over(
+                Window.partitionBy("_lk").orderBy("_pid")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+            .withColumn("_carry", F.when(F.lag("_lk").over(w).eqNullSafe(F.col("_fk")),
+                                         F.lag("_acc").over(w)))
+            .select("_pid", "_carry"))
+    rows = scanned.filter(F.col("_kind") == "L")
+    done = rows.filter(~F.col("_need")).select(*by, *l_payload, *r_payload)
+    filled = (rows.filter(F.col("_need")).select(*by, *l_payload, "_pid")
+              .join(F.broadcast(ends), "_pid", "left")
+              .select(*by, *l_payload, *[F.col("_carry")[c].alias(c) for c in r_payload]))
+    return done.unionByName(filled)
