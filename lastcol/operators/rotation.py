@@ -174,10 +174,12 @@ def inverse_bwt(bwt_df: DataFrame, max_len: int = BLOCK_SIZE) -> DataFrame:
     word = _let("split(bwt_text, '')", "bl",
                 _let("transform(sequence(0, _p - 1), j -> bl[j * _rep])", "l",
                      _let(lf, "lf", f"array_join(transform({walk}, x -> l[x]), '')")))
+    # No filter on ``bwt_text`` here: Catalyst would push it below the
+    # projection that computes the BWT and evaluate that twice.
     return (bwt_df
-            .filter(F.length("bwt_text") > 0)
             .transform(_spread)
-            .withColumn("_p", F.col("period").cast("int"))
-            .withColumn("_rep", (F.length("bwt_text") / F.col("_p")).cast("int"))
+            .withColumn("_p", F.greatest(F.col("period").cast("int"), F.lit(1)))
+            .withColumn("_rep", F.greatest((F.length("bwt_text") / F.col("_p")).cast("int"), F.lit(1)))
             .withColumn("_s", (F.col("start_rank") / F.col("_rep")).cast("int"))
-            .select("block_id", F.repeat(F.reverse(F.expr(word)), F.col("_rep")).alias("text")))
+            .select("block_id", F.when(F.length("bwt_text") == 0, F.lit(""))
+                    .otherwise(F.repeat(F.reverse(F.expr(word)), F.col("_rep"))).alias("text")))

@@ -82,7 +82,7 @@ def compressed_size(runs: DataFrame) -> DataFrame:
            .agg(F.sum("run_len").cast("long").alias("n_chars"),
                 F.count(F.lit(1)).alias("n_runs"),
                 F.sum(encoded_run_bytes("run_len")).cast("long").alias("encoded_bytes")))
-    return agg.withColumn("ratio", F.round(F.col("encoded_bytes") / F.col("n_chars"), 6))
+    return agg.withColumn("ratio", F.col("encoded_bytes").cast("double") / F.col("n_chars").cast("double"))
 
 
 def symbol_histogram(symbols_df: DataFrame, by: list[str] | str = "block_id",
@@ -124,7 +124,8 @@ def block_checkpoints(runs: DataFrame, chunk: int = CHUNK) -> DataFrame:
                                           F.collect_set("symbol").alias("_s"))
     grid = (blocks.select("block_id", F.explode("_s").alias("symbol"),
                           F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / chunk)).alias("_k"))
-            .select("block_id", "symbol", F.explode("_k").cast("long").alias("chunk_no")))
+            .select("block_id", "symbol", F.explode("_k").alias("chunk_no"))
+            .withColumn("chunk_no", F.col("chunk_no").cast("long")))
     w = (Window.partitionBy("block_id", "symbol").orderBy("chunk_no")
          .rowsBetween(Window.unboundedPreceding, -1))
     return (grid.join(per_chunk, ["block_id", "chunk_no", "symbol"], "left")
