@@ -75,9 +75,9 @@ def read_tagged_rejects(spark: SparkSession, path, strip_newline: bool = False)
 def records_from(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """O2: any table as ``(record_id, content)``; a null id is an error."""
     rid = F.col(id_col).cast("long")
-    return df.select(F.assert_true(rid.isNotNull(), F.lit(f"null {id_col}")).alias("_ok"),
-                     rid.alias("record_id"), F.col(text_col).cast("string").alias("content")
-                     ).drop("_ok")
+    # the check lives inside the id expression, so column pruning keeps it
+    checked = F.when(rid.isNull(), F.raise_error(F.lit(f"null {id_col}"))).otherwise(rid)
+    return df.select(checked.alias("record_id"), F.col(text_col).cast("string").alias("content"))
 
 
 def tagged_text(record_id="record_id", content="content") -> Column:
