@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lastcol.functions import chars
+from lastcol.session import spread_if_narrow
 
 # Fixed value: largest block, in characters.
 BLOCK_SIZE = 4096
@@ -30,7 +31,8 @@ def make_blocks(df: DataFrame, id_col: str = "record_id", text_col: str = "conte
     """
     n = F.length(text_col)
     k = F.explode(F.sequence(F.lit(0), F.ceil(n / block_size).cast("int") - 1))
-    sliced = (df.filter(n > 0)
+    src = spread_if_narrow(df.select(id_col, text_col), id_col)
+    sliced = (src.filter(n > 0)
               .select(F.col(id_col).cast("long").alias("record_id"), F.col(text_col).alias("_t"),
                       k.alias("slice_no")))
     return sliced.select(
@@ -114,6 +116,8 @@ def rank_arrays(blocks: DataFrame, max_len: int = BLOCK_SIZE) -> DataFrame:
         "dbl",
         f"transform(sequence(0, size(_c) - 1), i -> struct(i AS pos, dbl[i] AS symbol, "
         f"array_join(slice(dbl, i + 1, {k}), '') AS key))")
+    # fixed-count repartition by block: it also serves the window below, and
+    # adaptive coalescing would otherwise pack CPU-heavy blocks into few tasks
     keyed = (blocks.filter(F.length("text") > 0)
              .transform(_spread)
              .select("block_id", chars("text").alias("_c"))
