@@ -9,8 +9,15 @@ small inputs instead.
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
+from pathlib import Path
+
+# the package sits next to this file; make it importable however the file is loaded
+_HERE = str(Path(__file__).resolve().parent)
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -191,6 +198,10 @@ def q_run_length_decode(spark, sf):
     return rl.decode_text(rl.text_runs(_doc_blocks(spark, sf)))
 
 
+def q_run_length_decode_rows(spark, sf):
+    return rl.run_length_decode(_part_runs(spark, sf))
+
+
 def q_runs_store_round_trip(spark, sf):
     path = _scratch(spark, "runs")
     write_runs(_part_runs(spark, sf), path)
@@ -299,6 +310,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "runs_lineitem_global": q_runs_lineitem_global,
         "text_runs": q_text_runs,
         "run_length_decode": q_run_length_decode,
+        "run_length_decode_rows": q_run_length_decode_rows,
         "runs_store_round_trip": q_runs_store_round_trip,
         "compressed_size": q_compressed_size,
         "symbol_histogram": q_symbol_histogram,
@@ -450,6 +462,7 @@ def oracle_sql() -> dict[str, str]:
                                           "l_returnflag"),
         "text_runs": _text_runs(_DOC_BLOCKS),
         "run_length_decode": _DOC_BLOCKS,
+        "run_length_decode_rows": f"SELECT block_id, pos, symbol FROM ({part_chars})",
         "runs_store_round_trip": _text_runs(_PART_BLOCKS),
         "compressed_size": f"""
   WITH r AS ({_text_runs(_DOC_BLOCKS)})

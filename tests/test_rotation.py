@@ -45,3 +45,11 @@ def test_make_blocks(spark):
     df = spark.createDataFrame([(1, "abcdefg"), (2, "")], "record_id long, content string")
     got = sorted((r.block_id, r.slice_no, r.text) for r in make_blocks(df, block_size=3).collect())
     assert got == [(65536, 0, "abc"), (65537, 1, "def"), (65538, 2, "g")]
+
+
+def test_sample_compresses_to_60_runs_75_bytes(spark):
+    from conftest import SAMPLE
+    from lastcol.operators.runs import compressed_size, text_runs
+    b = bwt(_df(spark, [SAMPLE])).select("block_id", b_text := "bwt_text")
+    size = compressed_size(text_runs(b.withColumnRenamed(b_text, "text"))).filter("block_id IS NOT NULL").first()
+    assert (size.n_chars, size.n_runs, size.encoded_bytes) == (79, 60, 75)
