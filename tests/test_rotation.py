@@ -53,3 +53,14 @@ def test_sample_compresses_to_60_runs_75_bytes(spark):
     b = bwt(_df(spark, [SAMPLE])).select("block_id", b_text := "bwt_text")
     size = compressed_size(text_runs(b.withColumnRenamed(b_text, "text"))).filter("block_id IS NOT NULL").first()
     assert (size.n_chars, size.n_runs, size.encoded_bytes) == (79, 60, 75)
+
+
+def test_documents_round_trip_sf0001(spark):
+    from pyspark.sql import functions as F
+
+    from lastcol.plans.tables import documents
+    blocks = make_blocks(documents(spark, "/root/testdata/sf0.001")).select("block_id", "text").cache()
+    back = inverse_bwt(bwt(blocks)).withColumnRenamed("text", "back")
+    joined = blocks.join(back, "block_id", "left")
+    assert joined.filter(F.col("back").isNull() | (F.col("back") != F.col("text"))).count() == 0
+    assert joined.count() == blocks.count() > 0
