@@ -77,7 +77,7 @@ def _group_count(rank_expr: str) -> str:
 
 
 # Fixed value: length of the first sort key (characters of each rotation).
-FIRST_KEY = 32
+FIRST_KEY = 16
 
 
 def _doubling(rank_col: str, h0: int, max_len: int, chars_col: str = "_c") -> str:
