@@ -120,17 +120,20 @@ def block_checkpoints(runs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     the block's chunks and symbols (both bounded by the block size)."""
     per_chunk = (chunk_pieces(runs, chunk).groupBy("block_id", "chunk_no", "symbol")
                  .agg(F.sum(F.col("end_pos") - F.col("start_pos")).cast("long").alias("n")))
-    blocks = runs.groupBy("block_id").agg(F.sum("run_len").alias("_n"),
-                                          F.collect_set("symbol").alias("_s"))
-    grid = (blocks.select("block_id", F.explode("_s").alias("symbol"),
-                          F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / chunk)).alias("_k"))
-            .select("block_id", "symbol", F.explode("_k").alias("chunk_no"))
-            .withColumn("chunk_no", F.col("chunk_no").cast("long")))
-    w = (Window.partitionBy("block_id", "symbol").orderBy("chunk_no")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return (grid.join(per_chunk, ["block_id", "chunk_no", "symbol"], "left")
-            .select("block_id", "chunk_no", "symbol",
-                    F.coalesce(F.sum("n").over(w), F.lit(0)).cast("long").alias("cnt_before")))
+    # One pass: the last chunk of a block (it always holds the block's last
+    # symbol) by a window over the block, then one row per (block, symbol)
+    # carrying its per-chunk counts as a small map (at most block/chunk
+    # entries), expanded into the dense prefix counts.
+    last = per_chunk.withColumn("_last", F.max("chunk_no").over(Window.partitionBy("block_id")))
+    per_symbol = (last.groupBy("block_id", "symbol")
+                  .agg(F.max("_last").alias("_last"),
+                       F.map_from_entries(F.collect_list(F.struct("chunk_no", "n"))).alias("_m")))
+    dense = F.expr("""transform(sequence(CAST(0 AS BIGINT), _last), k -> struct(k AS chunk_no,
+        aggregate(map_values(map_filter(_m, (c, v) -> c < k)), CAST(0 AS BIGINT), (a, b) -> a + b)
+          AS cnt_before))""")
+    return (per_symbol.select("block_id", "symbol", F.explode_outer(dense).alias("_e"))
+            .select("block_id", F.col("_e.chunk_no").alias("chunk_no"), "symbol",
+                    F.col("_e.cnt_before").alias("cnt_before")))
 
 
 def symbol_at(runs: DataFrame, positions: DataFrame) -> DataFrame:
