@@ -33,6 +33,12 @@ from lastcol.session import checkpoint_dir
 from lastcol.sources import format_records, read_tagged, records_from, write_tagged_records
 from lastcol.sources.runs_store import read_runs, write_runs
 
+try:  # the training-data operators are an optional subpackage
+    import corpus_pipeline
+    from lastcol.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 SF0001 = "/root/testdata/sf0.001"
 
 # The patterns used by the registered queries.
@@ -283,6 +289,16 @@ def q_indexed_search(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _core_queries() | _llm_queries()
+
+
+def _llm_queries():
+    if llm_queries is None:
+        return {}
+    return llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _core_queries():
     return {
         "keyword_search": q_keyword_search,
         "keyword_search_non_ascii": q_keyword_search_non_ascii,
@@ -398,6 +414,15 @@ def _bwt_sql(blocks: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    out = _core_oracles()
+    if llm_queries is not None:
+        out |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
+
+
+def _core_oracles():
     docs = "SELECT doc_id AS record_id, text AS content FROM documents"
     ev_recs = "SELECT event_id AS record_id, event_type AS content FROM events WHERE event_type <> 'click'"
     li_recs = "SELECT l_orderkey AS record_id, l_returnflag AS content FROM lineitem"
