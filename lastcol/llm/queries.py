@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from .common import table
+from . import pii
+from .common import stored, table
 from .mph_dedup import exact_dedup
 
 
@@ -10,9 +11,14 @@ def op3_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).drop("in_history")
 
 
+def op5_pii(spark, sf_dir):
+    return pii.find_pii(table(spark, sf_dir, "documents"), stored)
+
+
 def queries():
     return {
         "op3_exact_dedup": op3_exact_dedup,
+        "op5_pii": op5_pii,
     }
 
 
