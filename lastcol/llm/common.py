@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastcol.session import checkpoint_dir
@@ -27,6 +27,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Stands for a null id inside Python workers, where a column with nulls would
+#: become floating point and lose the low digits of large ids.
+NO_ID = -(2**63)
+
+
+def plain_id(name: str = "doc_id") -> Column:
+    return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID)).alias(name)
+
+
+def null_id(name: str = "doc_id") -> Column:
+    return F.nullif(F.col(name), F.lit(NO_ID)).alias(name)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for undirected ``edges(a, b)`` of longs; the
     component is its smallest node.  Nodes without an edge do not appear.

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from . import pii
+import public_tokenizers
+
+from . import bpe, packing, pii
 from .common import stored, table
 from .mph_dedup import exact_dedup
 
 
+def op2_bpe(spark, sf_dir):
+    return bpe.encode_report(table(spark, sf_dir, "documents"),
+                             public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).drop("in_history")
 
@@ -15,10 +22,16 @@ def op5_pii(spark, sf_dir):
     return pii.find_pii(table(spark, sf_dir, "documents"), stored)
 
 
+def op6_best_fit_packing(spark, sf_dir):
+    return packing.best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries():
     return {
+        "op2_bpe": op2_bpe,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_pii": op5_pii,
+        "op6_best_fit_packing": op6_best_fit_packing,
     }
 
 
