@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, packing, pii
+from . import bpe, packing, pii, toxicity
 from .common import stored, table
 from .mph_dedup import exact_dedup
 
@@ -18,6 +18,10 @@ def op3_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).drop("in_history")
 
 
+def op4_toxicity(spark, sf_dir):
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_pii(spark, sf_dir):
     return pii.find_pii(table(spark, sf_dir, "documents"), stored)
 
@@ -30,6 +34,7 @@ def queries():
     return {
         "op2_bpe": op2_bpe,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_toxicity": op4_toxicity,
         "op5_pii": op5_pii,
         "op6_best_fit_packing": op6_best_fit_packing,
     }
