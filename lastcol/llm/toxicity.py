@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPAN = 6
-DECAY = 0.8
+DECAY = 0.85
 #: Landmark words of each class.
 LANDMARKS = 64
 #: Words of a sentence; a longer one counts as several.
@@ -201,7 +201,7 @@ def _noisy(word: str, rng: np.random.Generator) -> str:
     return word[:at] + str(rng.choice(list(".-*_~aeiou"))) + word[at:]
 
 
-def _svm(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float]:
+def _svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     """Linear SVM (squared hinge, classes balanced) by accelerated gradient steps."""
     cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     xb = np.c_[x, np.ones(len(x))]
@@ -269,7 +269,8 @@ def train(texts: list[str], toxic: list[int], seed: int = 0) -> Model:
 
     lab = y[own] * 2 - 1
     # start: sentences of toxic documents that hold the word most tied to the label
-    tie = np.array([gain[w] for w in lead[:n_lead]])
+    # how purely a landmark stands for toxic documents
+    tie = np.array([np.log((rate[w][0] + 1e-4) / (rate[w][1] + 1e-4)) for w in lead[:n_lead]])
     lead_value = (k_all[:, :n_lead] * (tie / tie.max())).max(1) if n_lead else np.zeros(len(k_all))
     strong = np.maximum.reduceat(lead_value[flat], starts)
     cut = np.quantile(strong[lab < 0], 0.999) if (lab < 0).any() else 0.0
@@ -279,7 +280,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 0) -> Model:
     for _ in range(4):
         if not (sl[use] > 0).any():
             use, sl = np.ones(len(x), bool), lab
-        w, b = _svm(x[use], sl[use].astype(float), rng)
+        w, b = _svm(x[use], sl[use].astype(float))
         f = x @ w + b
         new = np.where((lab > 0) & (f > 0), 1, -1)
         for d in np.flatnonzero(y):  # a toxic document keeps its worst sentence, unless it holds nothing toxic

@@ -33,7 +33,7 @@ def test_held_out_accuracy(scorer):
     assert np.mean(np.array(got) == np.array(toxic)) > 0.97
 
 
-@pytest.mark.parametrize("text", ["grumbolt", "you grum.bolt", "g r u m b o l t", "GRUMBOLT!", "grumxbolt", "gr-umb-olt"])
+@pytest.mark.parametrize("text", ["grumbolt", "you grum.bolt", "g r u m b o l t", "GRUMBOLT!", "ggrumbolt", "grumboltt", "gr-umb-olt"])
 def test_gapped_and_inserted_characters(scorer, text):
     assert scorer.score("ta neri " + text + " solu") > 0.5 > scorer.score("ta neri solu")
 
@@ -57,7 +57,7 @@ def test_subsequence_weights_equal_brute_force():
 
 
 def test_scores_of_odd_texts(spark):
-    texts, toxic = corpus(200)
+    texts, toxic = corpus(400)
     odd = [None, "", " ", "grumbolt " * 30_000, "x" * 200_000, "ta " * 120_000 + "snivelwort"]
     rows = [(i, t, 9.0) for i, t in enumerate(texts + odd)] + [(None, "ta", 1.0), (3, texts[3], 1.0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score double")
