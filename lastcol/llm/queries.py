@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, packing, pii, toxicity
+from . import bpe, langid, packing, pii, toxicity
 from .common import stored, table
 from .mph_dedup import exact_dedup
 
@@ -30,6 +30,10 @@ def op6_best_fit_packing(spark, sf_dir):
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_language_id(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {
         "op2_bpe": op2_bpe,
@@ -37,6 +41,7 @@ def queries():
         "op4_toxicity": op4_toxicity,
         "op5_pii": op5_pii,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_language_id": op7_language_id,
     }
 
 
