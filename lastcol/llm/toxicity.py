@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 SPAN = 6
 DECAY = 0.85
 #: Landmark words of each class.
-LANDMARKS = 64
+LANDMARKS = 48
 #: Words of a sentence; a longer one counts as several.
 SENTENCE = 32
 #: Training documents of each class, and the longest text that may be one.
-FIT_DOCS = 1200
+FIT_DOCS = 1000
 #: Clean sentences trained on.
 FIT_SENTENCES = 12_000
 FIT_CHARS = 20_000
@@ -195,6 +195,10 @@ def _split(text: str) -> list[list[str]]:
     return out + [cur] if cur else out
 
 
+def _parts(words: list[str]) -> list[list[str]]:
+    return [words[i:i + 5000] for i in range(0, len(words), 5000)]
+
+
 def _noisy(word: str, rng: np.random.Generator) -> str:
     """The word with one character put in."""
     at = int(rng.integers(1, len(word))) if len(word) > 1 else 1
@@ -204,10 +208,11 @@ def _noisy(word: str, rng: np.random.Generator) -> str:
 def _svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     """Linear SVM (squared hinge, classes balanced) by accelerated gradient steps."""
     cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    xb = np.c_[x, np.ones(len(x))]
+    xb = np.c_[x, np.ones(len(x), np.float32)].astype(np.float32)
+    y, cost = y.astype(np.float32), cost.astype(np.float32)
     lam = 1e-4
     lip = 2 * np.linalg.eigvalsh(xb.T @ (cost[:, None] * xb))[-1] + lam
-    w = np.zeros(xb.shape[1])
+    w = np.zeros(xb.shape[1], np.float32)
     z, t = w.copy(), 1.0
     for _ in range(150):
         slack = np.maximum(0, 1 - y * (xb @ z))
@@ -239,7 +244,9 @@ def train(texts: list[str], toxic: list[int], seed: int = 0) -> Model:
     n_lead = len(lead)
     # clean landmarks: the commonest clean words, and those most like the others
     clean = sorted((w for w in seen if rate[w][1] >= rate[w][0]), key=lambda w: (-seen[w][0], w))
-    near = kernel(clean, *landmark_vectors(lead)).max(1) if clean and lead else np.zeros(len(clean))
+    first = landmark_vectors(lead)
+    near = (np.concatenate([kernel(part, *first).max(1) for part in _parts(clean)]) if clean and lead
+            else np.zeros(len(clean)))
     lead += clean[:LANDMARKS // 2]
     lead += [clean[i] for i in np.argsort(-near, kind="stable")[:LANDMARKS] if clean[i] not in lead]
     ids, table = landmark_vectors(lead)
@@ -261,19 +268,27 @@ def train(texts: list[str], toxic: list[int], seed: int = 0) -> Model:
     own = np.array(owner + [owner[i] for i in extra], int)
     all_sents = [sorted(set(s)) for s in all_sents]
     vocab = {w: i for i, w in enumerate(sorted({w for s in all_sents for w in s}))}
-    k_all = kernel(list(vocab), ids, table)
-    phi = k_all @ root
+    # how purely a landmark stands for toxic documents
+    tie = np.array([np.log((rate[w][0] + 1e-4) / (rate[w][1] + 1e-4)) for w in lead[:n_lead]])
+    tie = tie / tie.max() if n_lead else tie
+    phi, lead_value = [], []
+    for part in _parts(list(vocab)):
+        k = kernel(part, ids, table)
+        phi.append((k @ root).astype(np.float32))
+        lead_value.append((np.minimum(k[:, :n_lead], 1) * tie).max(1, initial=0.0))
+    phi, lead_value = np.concatenate(phi), np.concatenate(lead_value)
     flat = np.array([vocab[w] for s in all_sents for w in s], int)
     starts = np.cumsum([0] + [len(s) for s in all_sents[:-1]])
-    x = np.add.reduceat(phi[flat], starts).astype(float)
+    x = np.empty((len(starts), phi.shape[1]), np.float32)
+    for lo in range(0, len(starts), 4096):
+        at = starts[lo:lo + 4096]
+        end = starts[lo + 4096] if lo + 4096 < len(starts) else len(flat)
+        x[lo:lo + 4096] = np.add.reduceat(phi[flat[at[0]:end]], at - at[0])
 
     lab = y[own] * 2 - 1
     # start: sentences of toxic documents that hold the word most tied to the label
-    # how purely a landmark stands for toxic documents
-    tie = np.array([np.log((rate[w][0] + 1e-4) / (rate[w][1] + 1e-4)) for w in lead[:n_lead]])
-    lead_value = (k_all[:, :n_lead] * (tie / tie.max())).max(1) if n_lead else np.zeros(len(k_all))
     strong = np.maximum.reduceat(lead_value[flat], starts)
-    cut = np.quantile(strong[lab < 0], 0.999) if (lab < 0).any() else 0.0
+    cut = min(0.8, np.quantile(strong[lab < 0], 0.999)) if (lab < 0).any() else 0.0
     sl = np.where((lab > 0) & (strong > cut), 1, -1)
     use = (lab < 0) | (sl > 0)
     w, b = np.zeros(x.shape[1]), 0.0
