@@ -6,6 +6,7 @@ import public_tokenizers
 
 from . import bpe, langid, packing, pii, toxicity
 from .common import stored, table
+from .metric_join import near_duplicates
 from .mph_dedup import exact_dedup
 
 
@@ -34,6 +35,10 @@ def op7_language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_near_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries():
     return {
         "op2_bpe": op2_bpe,
@@ -42,6 +47,7 @@ def queries():
         "op5_pii": op5_pii,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_language_id": op7_language_id,
+        "op10_embedding_near_dedup": op10_embedding_near_dedup,
     }
 
 
