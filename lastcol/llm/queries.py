@@ -8,6 +8,11 @@ from . import bpe, html_extract, langid, packing, pii, toxicity
 from .common import stored, table
 from .metric_join import near_duplicates
 from .mph_dedup import exact_dedup
+from .ngram_join import ngram_components
+
+
+def op1_ngram_jaccard(spark, sf_dir):
+    return ngram_components(table(spark, sf_dir, "documents"))
 
 
 def op2_bpe(spark, sf_dir):
@@ -45,6 +50,7 @@ def op10_embedding_near_dedup(spark, sf_dir):
 
 def queries():
     return {
+        "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_bpe": op2_bpe,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_toxicity": op4_toxicity,

@@ -93,8 +93,8 @@ def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         idx = at + j
         h += np.where(idx < end, padded[idx], _U(0)) * _U(_K[j])
     h = mix64(h, 2)
-    order = np.lexsort((h, doc)) if len(h) else np.empty(0, np.int64)
-    h, doc = h[order], doc[order]
+    for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
+        h[a:b].sort()
     keep = np.ones(len(h), bool)
     keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     h, doc = h[keep], doc[keep]
