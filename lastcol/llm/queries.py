@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, html_extract, langid, packing, pii, toxicity
+from . import bpe, html_extract, langid, packing, pii, quality, toxicity
 from .common import stored, table
 from .metric_join import near_duplicates
 from .mph_dedup import exact_dedup
@@ -40,6 +40,10 @@ def op7_language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark, sf_dir):
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_html_extraction(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -57,6 +61,7 @@ def queries():
         "op5_pii": op5_pii,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_language_id": op7_language_id,
+        "op8_quality": op8_quality,
         "op9_html_extraction": op9_html_extraction,
         "op10_embedding_near_dedup": op10_embedding_near_dedup,
     }
