@@ -1,22 +1,64 @@
-"""The corpus pipeline: stages over ``documents``, each on what the one before kept."""
+"""The corpus pipeline: from raw documents to packed token sequences.
+
+Every stage works on all that the one before kept, and its decisions take
+effect: toxic documents go, of equal texts and of near duplicates one document
+stays, personal data is replaced by its kind, and what is left is packed.  All
+stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastcol.llm.common import stored, table
+from lastcol.llm import pii, toxicity
+from lastcol.llm.common import stored, table, without
 from lastcol.llm.mph_dedup import exact_dedup
+from lastcol.llm.ngram_join import ngram_components
+from lastcol.llm.packing import best_fit_packing
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores 0.5 or more go."""
+    score = toxicity.score_column(toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return docs.filter(score(F.col("text")) < 0.5)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = exact_dedup(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """Of equal texts the smallest id stays."""
+    return without(docs, exact_dedup(docs).filter("not kept"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links join, the smallest id stays."""
+    return without(docs, ngram_components(docs).filter("component_id <> doc_id"))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans become their kind in brackets; the recorded length follows."""
+    model = pii.fit(pii.candidates(docs.select("doc_id", "text")))
+    clean = pii.redact(pii.decide(pii.candidates(docs), model))
+    if "n_chars" in clean.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of the clean documents."""
+    return best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("exact_dedup", drop_exact_copies)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_exact_copies),
+    ("ngram_jaccard", drop_near_copies),
+    ("pii", redact_personal_data),
+    ("best_fit_packing", pack),
+]
 
-#: A trained classifier and the packing search are no SQL; the tests compare by brute force.
+#: A trained classifier and a packing search are no SQL; tests/llm/test_pipeline.py
+#: compares the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -40,6 +40,19 @@ def null_id(name: str = "doc_id") -> Column:
     return F.nullif(F.col(name), F.lit(NO_ID)).alias(name)
 
 
+#: Ids broadcast at most; beyond, tables are joined by shuffle.
+BROADCAST_IDS = 500_000
+
+
+def without(docs: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose id is none of ``ids(doc_id)``.  A short list goes
+    to the rows, so that texts are not shuffled; a long one is joined.  Rows
+    without an id stay."""
+    listed = stored(ids.select(name).distinct(), "dropped")
+    few = listed.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(listed) if few else listed, name, "left_anti")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for undirected ``edges(a, b)`` of longs; the
     component is its smallest node.  Nodes without an edge do not appear.

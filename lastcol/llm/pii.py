@@ -55,6 +55,8 @@ _CUES = {
 }
 _AGAINST = "version|isbn|issn|order|invoice|serial|build|release|part no|article|ticket"
 
+#: Working columns, named so that no table has them.
+FOUND, SPANS = "_pii_candidates", "_pii_spans"
 CONTEXT = 40
 MIN_P = 0.5
 EM_ROUNDS = 50
@@ -103,10 +105,10 @@ CANDIDATES = ("array<struct<kind:string,rank:int,start:int,end:int,match:string,
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """``docs`` with the array column ``candidates``.  A null text counts as
+    """``docs`` with the array column FOUND.  A null text counts as
     empty and has none."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumn("candidates", F.concat(*(
+    return docs.withColumn(FOUND, F.concat(*(
         F.coalesce(_matches(text, k, b), F.array().cast(CANDIDATES)) for k in KINDS for b in (True, False))))
 
 
@@ -204,7 +206,7 @@ def _train(rows: list[tuple[tuple[int, ...], float, int]]) -> list[float]:
 def fit(cands: DataFrame) -> Model:
     """Labeler reliabilities and classifier from all candidates.  What reaches
     the driver has at most ``4 * 3**4 * 4`` rows, whatever the input."""
-    each = cands.select(F.explode("candidates").alias("c"))
+    each = cands.select(F.explode(FOUND).alias("c"))
     v, f = votes(F.col("c")), _features(F.col("c"))
     cols = [F.col("c.kind").alias("kind")] + [v[n].alias(f"v_{n}") for n in LABELERS] + [
         f[n].alias(f"f_{n}") for n in FEATURES]
@@ -245,31 +247,31 @@ def _label(arr: Column) -> Column:
 
 
 def decide(cands: DataFrame, model: Model) -> DataFrame:
-    """Replaces ``candidates`` by ``spans``: base spans, plus loose candidates
+    """Replaces FOUND by SPANS: base spans, plus loose candidates
     that the classifier accepts and that overlap no base span, by start and
     then kind as listed in KINDS.  A base match that failed its check is
     evidence for the labelers and never a span."""
-    base = F.filter("candidates", lambda c: c["base"])
-    loose = F.filter("candidates", lambda c: ~c["checked"] & (score(c, model) >= MIN_P))
+    base = F.filter(FOUND, lambda c: c["base"])
+    loose = F.filter(FOUND, lambda c: ~c["checked"] & (score(c, model) >= MIN_P))
     added = F.filter(loose, lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
     spans = F.sort_array(F.transform(F.concat(base, added), lambda c: F.struct(
         c["start"].alias("start"), c["rank"].alias("rank"), c["end"].alias("end"), c["kind"].alias("kind"),
         c["base"].alias("base"))))
-    return cands.withColumn("spans", spans).drop("candidates")
+    return cands.withColumn(SPANS, spans).drop(FOUND)
 
 
 def report(decided: DataFrame) -> DataFrame:
     """One row per document: counts by kind, the digest of the base spans and
     all spans as text."""
-    of = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    of = lambda k: F.size(F.filter(SPANS, lambda s: s["kind"] == k)).cast("long")
     return decided.select(
         "doc_id", *(of(k).alias(f"n_{k}") for k in KINDS),
-        F.sha2(_label(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
-        _label(F.col("spans")).alias("spans"))
+        F.sha2(_label(F.filter(SPANS, lambda s: s["base"])), 256).alias("base_sha256"),
+        _label(F.col(SPANS)).alias("spans"))
 
 
 def redact(decided: DataFrame) -> DataFrame:
-    """Replaces ``spans`` by taking effect: every span of ``text`` becomes its
+    """Replaces SPANS by taking effect: every span of ``text`` becomes its
     kind in brackets.  Overlapping spans count as one stretch, named after the
     first."""
     text = F.col("text")
@@ -280,9 +282,9 @@ def redact(decided: DataFrame) -> DataFrame:
         mark = F.when(s["start"] < acc["pos"], "").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
         return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), F.concat(acc["out"], gap, mark).alias("out"))
 
-    clean = F.aggregate("spans", start, step, lambda acc: F.concat(
+    clean = F.aggregate(SPANS, start, step, lambda acc: F.concat(
         acc["out"], F.substring(text, acc["pos"] + 1, F.length(text))))
-    return decided.withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(text)).drop("spans")
+    return decided.withColumn("text", F.when(F.size(SPANS) > 0, clean).otherwise(text)).drop(SPANS)
 
 
 def find_pii(docs: DataFrame, store) -> DataFrame:
@@ -292,5 +294,5 @@ def find_pii(docs: DataFrame, store) -> DataFrame:
     Null and empty texts have no span.  Repeated rows give repeated results.
     An empty table gives an empty result.  Other columns are ignored.
     """
-    cands = store(candidates(docs.select("doc_id", "text")).select("doc_id", "candidates"), "pii")
+    cands = store(candidates(docs.select("doc_id", "text")).select("doc_id", FOUND), "pii")
     return report(decide(cands, fit(cands)))
