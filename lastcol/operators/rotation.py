@@ -1,24 +1,31 @@
 """Sorted cyclic rotations, Burrows-Wheeler transform and its inverse.
 
-Each block (a short text, or a slice of a long one, at most ``BLOCK_SIZE``
-characters by construction) is one row.  The rotation order is found by
-prefix doubling (Manber & Myers, 1990) on arrays inside that row with
-Spark's higher-order functions: no shuffle, no driver loop, and work per
-row bounded by the block size.  A row cannot hold a group larger than one
-block, so a skewed corpus only changes how many rows there are.
+Each block (a short text, or a slice of a long one) is one row.  Rows travel in
+Arrow batches; inside a task each block's rotations are ranked by prefix
+doubling (Manber & Myers, 1990) on NumPy integer arrays, until all are distinct
+or whole rotations have been compared.  Work per row is bounded by the block's
+own length, with no shuffle but the one that spreads blocks over tasks.  A row
+cannot hold a group larger than one block, so a skewed corpus only changes how
+many rows there are.
 """
 
 from __future__ import annotations
 
-import math
+import sys
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lastcol.functions import chars
-from lastcol.session import spread_if_narrow
+from lastcol.session import spread
 
-# Fixed value: largest block, in characters.
+# The block functions run in Python workers: shipped by value, so that
+# executors need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Characters per block unless a caller says otherwise.
 BLOCK_SIZE = 4096
 _SLICE_BITS = 16
 
@@ -27,163 +34,120 @@ def make_blocks(df: DataFrame, id_col: str = "record_id", text_col: str = "conte
                 block_size: int = BLOCK_SIZE) -> DataFrame:
     """Cut texts into blocks: ``(block_id, record_id, slice_no, text)``.
 
-    ``block_id = record_id * 65536 + slice_no``; empty texts give no block.
+    ``block_id = record_id * 65536 + slice_no``; empty texts give no block, and
+    a text of more slices than that is an error (raised inside the id's own
+    expression, so that no plan can prune the check).
     """
     n = F.length(text_col)
-    k = F.explode(F.sequence(F.lit(0), F.ceil(n / block_size).cast("int") - 1))
-    src = spread_if_narrow(df.select(id_col, text_col), id_col)
+    src = spread(df.select(id_col, text_col))
     sliced = (src.filter(n > 0)
               .select(F.col(id_col).cast("long").alias("record_id"), F.col(text_col).alias("_t"),
-                      k.alias("slice_no")))
+                      F.explode(F.sequence(F.lit(0), F.ceil(n / block_size).cast("int") - 1)).alias("slice_no")))
+    block_id = F.when(F.col("slice_no") < (1 << _SLICE_BITS),
+                      F.col("record_id") * (1 << _SLICE_BITS) + F.col("slice_no")).otherwise(
+        F.raise_error(F.lit("text too long for block ids")).cast("long"))
     return sliced.select(
-        F.assert_true(F.col("slice_no") < (1 << _SLICE_BITS), F.lit("text too long for block ids")).alias("_ok"),
-        (F.col("record_id") * (1 << _SLICE_BITS) + F.col("slice_no")).alias("block_id"),
-        "record_id", F.col("slice_no").cast("long").alias("slice_no"),
-        F.expr(f"substr(_t, slice_no * {block_size} + 1, {block_size})").alias("text")).drop("_ok")
-
-
-def _ranks_from_sorted(sorted_expr: str, same: str) -> str:
-    """SQL: rank array (indexed by pos) from an array of ``struct(…, pos)``
-    already sorted; ``same`` compares ``S[k]`` with ``S[k-1]``.
-
-    The rank of a position is the sorted index where its group starts
-    (= number of strictly smaller keys).  Intermediate arrays are bound once
-    with ``transform(array(x), v -> …)[0]`` so lambdas never re-evaluate them.
-    """
-    return f"""transform(array({sorted_expr}), srt ->
-      transform(array(filter(sequence(0, size(srt) - 1), k -> k = 0 OR NOT ({same}))), starts ->
-        transform(sort_array(flatten(transform(sequence(0, size(starts) - 1), g ->
-            transform(sequence(starts[g], IF(g + 1 < size(starts), starts[g + 1], size(srt)) - 1),
-                      j -> struct(srt[j].pos AS pos, starts[g] AS r))))), x -> x.r)
-      )[0])[0]"""
-
-
-def _let(value_sql: str, name: str, body_sql: str) -> str:
-    """SQL ``let name = value in body``: the value is computed once even when
-    the body uses it inside a lambda (Catalyst would otherwise inline a
-    projected column into the lambda and re-run it per element)."""
-    return f"transform(array({value_sql}), {name} -> {body_sql})[0]"
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """Few bytes, much CPU per row: a fixed-count repartition, which adaptive
-    execution does not coalesce, keeps one task from getting every block."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(n, df.sparkSession.sparkContext.defaultParallelism), "block_id")
-
-
-def _group_count(rank_expr: str) -> str:
-    return f"size(array_distinct({rank_expr}))"
-
-
-# Fixed value: length of the first sort key (characters of each rotation).
-FIRST_KEY = 16
-
-
-def _doubling(rank_col: str, h0: int, max_len: int, chars_col: str = "_c") -> str:
-    """SQL: finish rotation ranks by prefix doubling on arrays, starting from
-    ranks that are exact for rotation prefixes of length ``h0``."""
-    steps = max(1, math.ceil(math.log2(max(2, max_len) / h0)) + 1)
-    n = f"size({chars_col})"
-    step = _ranks_from_sorted(
-        f"sort_array(transform(sequence(0, {n} - 1), i -> "
-        f"struct(acc.R[i] AS a, acc.R[(i + acc.h) % {n}] AS b, i AS pos)))",
-        "srt[k].a = srt[k - 1].a AND srt[k].b = srt[k - 1].b")
-    return f"""aggregate(sequence(1, {steps}),
-        struct({rank_col} AS R, {h0} AS h,
-               ({_group_count(rank_col)} = {n} OR {h0} >= {n}) AS done),
-        (acc, step_no) -> IF(acc.done, acc,
-            transform(array({step}), nxt -> struct(nxt AS R, acc.h * 2 AS h,
-                ({_group_count('nxt')} = {n} OR acc.h * 2 >= {n}) AS done))[0]),
-        acc -> acc.R)"""
-
-
-def rank_arrays(blocks: DataFrame, max_len: int = BLOCK_SIZE) -> DataFrame:
-    """``(block_id, _c, _r)``: one row per block with its characters and the
-    rank of the rotation starting at each position.
-
-    Pass 1 ranks every position by its first ``FIRST_KEY`` characters with a
-    window sort partitioned by block (generated code, spills).  The ranks are
-    then gathered into one array row per block (the data is already
-    partitioned by block, so no further shuffle) and blocks still holding
-    tied keys (long repeats, periodic text) are finished by doubling; for
-    the others the loop ends at once.
-    """
-    k = FIRST_KEY
-    entries = _let(
-        "IF(size(_c) >= {k}, concat(_c, slice(_c, 1, {k1})), "
-        "flatten(array_repeat(_c, CAST(ceil({k} / size(_c)) AS INT) + 1)))".format(k=k, k1=k - 1),
-        "dbl",
-        f"transform(sequence(0, size(_c) - 1), i -> struct(i AS pos, dbl[i] AS symbol, "
-        f"array_join(slice(dbl, i + 1, {k}), '') AS key))")
-    # fixed-count repartition by block: it also serves the window below, and
-    # adaptive coalescing would otherwise pack CPU-heavy blocks into few tasks
-    keyed = (blocks.filter(F.length("text") > 0)
-             .transform(_spread)
-             .select("block_id", chars("text").alias("_c"))
-             .select("block_id", F.explode_outer(F.expr(entries)).alias("e"))
-             .select("block_id", "e.pos", "e.symbol", "e.key"))
-    ranked = keyed.withColumn("rank", F.rank().over(Window.partitionBy("block_id").orderBy("key")) - 1)
-    return (ranked.groupBy("block_id")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "symbol", "rank"))).alias("_rows"))
-            .select("block_id", F.expr(_let(
-                "struct(transform(_rows, x -> x.symbol) AS c, transform(_rows, x -> CAST(x.rank AS INT)) AS r0)",
-                "b", "struct(b.c AS c, " + _doubling("b.r0", k, max_len, "b.c") + " AS r)")).alias("_b"))
-            .select("block_id", F.col("_b.c").alias("_c"), F.col("_b.r").alias("_r")))
-
-
-def rotation_rank(blocks: DataFrame, max_len: int = BLOCK_SIZE) -> DataFrame:
+        block_id.alias("block_id"), "record_id", F.col("slice_no").cast("long").alias("slice_no"),
+        F.expr(f"substr(_t, slice_no * {block_size} + 1, {block_size})").alias("text"))
+
+
+def _symbols(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+
+
+def _dense(sorted_keys: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Rank of each position: how many smaller keys there are."""
+    first = np.flatnonzero(np.r_[True, sorted_keys[1:] != sorted_keys[:-1]])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.repeat(first, np.diff(np.r_[first, len(order)]))
+    return out
+
+
+def rotation_ranks(text: str) -> np.ndarray:
+    """Rank of the rotation that starts at each position (equal rotations share
+    one)."""
+    sym = _symbols(text)
+    n, h = len(sym), 1
+    # first key: three symbols, 21 bits each
+    key = (sym << 42) | (np.roll(sym, -1) << 21) | np.roll(sym, -2) if n > 2 else sym
+    h = 3 if n > 2 else 1
+    order = np.argsort(key, kind="stable")
+    rank = _dense(key[order], order)
+    while h < n and len(np.unique(rank)) < n:
+        key = rank * (n + 1) + np.roll(rank, -h % n if n else 0)
+        order = np.argsort(key, kind="stable")
+        rank = _dense(key[order], order)
+        h *= 2
+    return rank
+
+
+def transform_block(text: str) -> tuple[str, int, int]:
+    """``(bwt_text, start_rank, period)`` of one block; ties by position."""
+    rank = rotation_ranks(text)
+    order = np.argsort(rank, kind="stable")
+    out = np.array(list(text), dtype=object)[(order - 1) % len(order)]
+    return "".join(out), int(np.flatnonzero(order == 0)[0]), len(np.unique(rank))
+
+
+def restore_block(bwt_text: str, start_rank: int, period: int) -> str:
+    """The block of a transform.  A block of ``r`` copies of a word has each
+    symbol of the word's transform ``r`` times in a row; the word is restored
+    and repeated.  The walk from ``start_rank`` doubles the known positions in
+    each step until it has all of them."""
+    if not bwt_text:
+        return ""
+    period = max(1, int(period))
+    copies = max(1, len(bwt_text) // period)
+    last = _symbols(bwt_text)[::copies][:period]
+    jump = np.empty(period, np.int64)
+    jump[np.argsort(last, kind="stable")] = np.arange(period)
+    seen = np.array([int(start_rank) // copies])
+    while len(seen) < period:
+        seen = np.concatenate([seen, jump[seen]])[:period] if len(seen) * 2 > period else np.concatenate([seen, jump[seen]])
+        jump = jump[jump]
+    word = last[seen][::-1].astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+    return word * copies
+
+
+def _spread_blocks(blocks: DataFrame) -> DataFrame:
+    return spread(blocks, "block_id")
+
+
+def rotation_rank(blocks: DataFrame) -> DataFrame:
     """``(block_id, pos, symbol, rank)``; rank = number of smaller rotations
     (equal rotations of a periodic block share a rank)."""
-    return (rank_arrays(blocks, max_len)
-            .select("block_id", "_c", F.posexplode_outer("_r").alias("pos", "rank"))
-            .select("block_id", F.col("pos").cast("long").alias("pos"),
-                    F.expr("_c[pos]").alias("symbol"), F.col("rank").cast("long").alias("rank")))
+    def run(frames):
+        for pdf in frames:
+            for block, text in zip(pdf["block_id"], pdf["text"], strict=True):
+                yield pd.DataFrame({"block_id": block, "pos": np.arange(len(text)), "symbol": list(text),
+                                    "rank": rotation_ranks(text)})
+    src = blocks.select("block_id", "text").filter(F.length("text") > 0)
+    return _spread_blocks(src).mapInPandas(run, "block_id long, pos long, symbol string, rank long")
 
 
-def bwt(blocks: DataFrame, max_len: int = BLOCK_SIZE) -> DataFrame:
+def bwt(blocks: DataFrame) -> DataFrame:
     """``(block_id, bwt_text, start_rank, period)``.
 
     Last symbol of each rotation in sorted order (ties by position, which
     cannot change the text); ``start_rank`` is where rotation 0 lands;
-    ``period`` is the number of distinct rotations.
-    """
-    order = "sort_array(transform(sequence(0, size(_c) - 1), i -> struct(_r[i] AS r, i AS pos)))"
-    out = _let(order, "o", "struct("
-               "array_join(transform(o, x -> _c[(x.pos + size(_c) - 1) % size(_c)]), '') AS bwt_text, "
-               "CAST(array_position(transform(o, x -> x.pos), 0) - 1 AS BIGINT) AS start_rank, "
-               "CAST(size(array_distinct(_r)) AS BIGINT) AS period)")
-    return (rank_arrays(blocks, max_len)
-            .select("block_id", F.expr(out).alias("_o"))
-            .select("block_id", "_o.bwt_text", "_o.start_rank", "_o.period"))
-
-
-def inverse_bwt(bwt_df: DataFrame, max_len: int = BLOCK_SIZE) -> DataFrame:
-    """``(block_id, text)`` from ``(block_id, bwt_text, start_rank, period)``.
-
-    A block made of ``r`` copies of a word has each symbol of the word's BWT
-    repeated ``r`` times; the word is restored from every ``r``-th symbol and
-    repeated.  The LF walk from ``start_rank`` is done by pointer doubling:
-    after step t the visit list holds the first 2^t positions.
+    ``period`` is the number of distinct rotations.  Empty and null texts give
+    no row.
     """
-    steps = max(1, math.ceil(math.log2(max(2, max_len))))
-    lf = """transform(sort_array(transform(
-               sort_array(transform(sequence(0, _p - 1), i -> struct(l[i] AS c, i AS src))),
-               (x, k) -> struct(x.src AS src, k AS dst))), y -> y.dst)"""
-    walk = f"""aggregate(sequence(1, {steps}), struct(array(_s) AS V, lf AS J),
-        (acc, step_no) -> IF(size(acc.V) >= _p, acc,
-            struct(concat(acc.V, transform(acc.V, x -> acc.J[x])) AS V,
-                   transform(acc.J, x -> acc.J[x]) AS J)),
-        acc -> slice(acc.V, 1, _p))"""
-    word = _let("split(bwt_text, '')", "bl",
-                _let("transform(sequence(0, _p - 1), j -> bl[j * _rep])", "l",
-                     _let(lf, "lf", f"array_join(transform({walk}, x -> l[x]), '')")))
-    # No filter on ``bwt_text`` here: Catalyst would push it below the
-    # projection that computes the BWT and evaluate that twice.
-    return (bwt_df
-            .transform(_spread)
-            .withColumn("_p", F.greatest(F.col("period").cast("int"), F.lit(1)))
-            .withColumn("_rep", F.greatest((F.length("bwt_text") / F.col("_p")).cast("int"), F.lit(1)))
-            .withColumn("_s", (F.col("start_rank") / F.col("_rep")).cast("int"))
-            .select("block_id", F.when(F.length("bwt_text") == 0, F.lit(""))
-                    .otherwise(F.repeat(F.reverse(F.expr(word)), F.col("_rep"))).alias("text")))
+    def run(frames):
+        for pdf in frames:
+            rows = [transform_block(t) for t in pdf["text"]]
+            yield pd.DataFrame({"block_id": pdf["block_id"], "bwt_text": [r[0] for r in rows],
+                                "start_rank": [r[1] for r in rows], "period": [r[2] for r in rows]})
+    src = blocks.select("block_id", "text").filter(F.length("text") > 0)
+    return _spread_blocks(src).mapInPandas(run, "block_id long, bwt_text string, start_rank long, period long")
+
+
+def inverse_bwt(bwt_df: DataFrame) -> DataFrame:
+    """``(block_id, text)`` from ``(block_id, bwt_text, start_rank, period)``,
+    for blocks of any length."""
+    def run(frames):
+        for pdf in frames:
+            yield pd.DataFrame({"block_id": pdf["block_id"], "text": [
+                restore_block(t, s, p) for t, s, p in zip(pdf["bwt_text"], pdf["start_rank"], pdf["period"], strict=True)]})
+    return (bwt_df.select("block_id", "bwt_text", "start_rank", "period")
+            .mapInPandas(run, "block_id long, text string"))

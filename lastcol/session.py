@@ -55,20 +55,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never a local one."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition by ``keys`` only when the input has fewer partitions than
-    the cluster has cores (a single large file, say) and the next step is
-    CPU-heavy per row.  A well-split input is left alone: no extra shuffle.
-    The check plans the query but runs no job."""
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows out before CPU-heavy work per row: by ``keys``, else in turn.
+    The number of tasks is fixed, so that adaptive execution does not pack a
+    few bytes of hard work into one task; it neither looks at the input's
+    partitions (which may be empty) nor runs a job."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return df.repartition(n, *keys) if keys else df.repartition(n)

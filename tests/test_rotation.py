@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from lastcol.operators.rotation import bwt, inverse_bwt, make_blocks, rotation_rank
 
 SAMPLE_BWT = "agsan1[[1[[]]]]nngy1890ttDdr  nnttrdineB   xstooiooiiiIcCiimmgpetrseuaanuasdper"
@@ -64,3 +66,26 @@ def test_documents_round_trip_sf0001(spark):
     joined = blocks.join(back, "block_id", "left")
     assert joined.filter(F.col("back").isNull() | (F.col("back") != F.col("text"))).count() == 0
     assert joined.count() == blocks.count() > 0
+
+
+def test_blocks_longer_than_the_default(spark):
+    rng = random.Random(2)
+    long = "".join(rng.choice("abcdé") for _ in range(6000))
+    almost = "ab" * 33_001 + "c"  # all rotations differ, but only far in
+    texts = [long, almost, "ab" * 4000]
+    df = _df(spark, texts)
+    out = {r.block_id: r for r in bwt(df).collect()}
+    assert [out[i].period for i in range(3)] == [6000, len(almost), 2]
+    assert {r.block_id: r.text for r in inverse_bwt(bwt(df)).collect()} == dict(enumerate(texts))
+
+
+def test_text_of_too_many_slices_raises(spark):
+    df = spark.createDataFrame([(1, "x" * 70_000)], "record_id long, content string")
+    with pytest.raises(Exception, match="too long for block ids"):
+        make_blocks(df, block_size=1).select("block_id").collect()
+
+
+def test_restore_every_start():
+    from lastcol.operators.rotation import restore_block, transform_block
+    for t in ["a", "ab", "aa", "abcabc", "mississippi", "\U0001F600é" * 5 + "x"]:
+        assert transform_block(t) == _brute(t) and restore_block(*transform_block(t)) == t
