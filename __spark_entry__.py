@@ -379,11 +379,11 @@ def _runs_sql(src: str, by: list[str], order: list[str], value: str) -> str:
     keys = ", ".join(by + ["run_no"])
     sel_by = "".join(f"{b}, " for b in by)
     return f"""
-  WITH f AS (SELECT {sel_by}{ordr}{'' if value in order else ', ' + value},
-                    CASE WHEN lag({value}) OVER ({part}ORDER BY {ordr}) IS NOT DISTINCT FROM {value}
-                         AND row_number() OVER ({part}ORDER BY {ordr}) > 1 THEN 0 ELSE 1 END AS chg
-             FROM {src}),
-  g AS (SELECT *, sum(chg) OVER ({part}ORDER BY {ordr} ROWS UNBOUNDED PRECEDING) - 1 AS run_no FROM f)
+  WITH r AS (SELECT {sel_by}{ordr}{'' if value in order else ', ' + value},
+                    row_number() OVER ({part}ORDER BY {ordr}) AS rn FROM {src}),
+  f AS (SELECT *, CASE WHEN lag({value}) OVER ({part}ORDER BY rn) IS NOT DISTINCT FROM {value}
+                       AND rn > 1 THEN 0 ELSE 1 END AS chg FROM r),
+  g AS (SELECT *, sum(chg) OVER ({part}ORDER BY rn ROWS UNBOUNDED PRECEDING) - 1 AS run_no FROM f)
   SELECT {sel_by}CAST(run_no AS BIGINT) AS run_no, min({value}) AS {value},
          min({order[0]}) AS start, CAST(count(*) AS BIGINT) AS run_len
   FROM g GROUP BY {keys}"""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lastcol.functions import chars, encoded_run_bytes
-from lastcol.plans.segments import floor_join, ordered_runs
+from lastcol.plans.segments import ordered_runs
 
 # Fixed value: checkpoint spacing (the reference samples counts every 600 encoded bytes).
 CHUNK = 600
@@ -44,20 +44,20 @@ def symbols(blocks: DataFrame) -> DataFrame:
 def text_runs(blocks: DataFrame, text_col: str = "text") -> DataFrame:
     """O14 on text: ``(block_id, run_no, symbol, start_pos, run_len)``.
 
-    Runs are cut by one regex pass in the JVM; start positions are a running
-    sum of run lengths inside the block (bounded window).
+    A run starts where a character differs from the one before it; the starts
+    are found within the row and only runs are exploded, so nothing is
+    shuffled or sorted.
     """
-    pieces = (blocks.select("block_id", F.regexp_extract_all(F.col(text_col), F.lit(r"(?s)(.)\1*"), 0)
-                            .alias("_r"))
-              .select("block_id", F.posexplode_outer("_r").alias("run_no", "_piece"))
-              .filter(F.col("_piece").isNotNull())
-              .select("block_id", F.col("run_no").cast("long").alias("run_no"),
-                      F.substring("_piece", 1, 1).alias("symbol"),
-                      F.length("_piece").cast("long").alias("run_len")))
-    w = Window.partitionBy("block_id").orderBy("run_no").rowsBetween(Window.unboundedPreceding, -1)
-    return pieces.select("block_id", "run_no", "symbol",
-                         F.coalesce(F.sum("run_len").over(w), F.lit(0)).cast("long").alias("start_pos"),
-                         "run_len")
+    starts = F.filter(F.sequence(F.lit(0), F.size("_c") - 1),
+                      lambda i: (i == 0) | (F.col("_c")[i] != F.col("_c")[F.greatest(i - 1, F.lit(0))]))
+    runs = F.transform("_s", lambda s, k: F.struct(
+        k.cast("long").alias("run_no"), F.col("_c")[s].alias("symbol"), s.cast("long").alias("start_pos"),
+        (F.coalesce(F.get("_s", k + 1), F.size("_c")) - s).cast("long").alias("run_len")))
+    return (blocks.select("block_id", text_col).filter(F.length(text_col) > 0)
+            .select("block_id", chars(text_col).alias("_c"))
+            .select("block_id", "_c", starts.alias("_s"))
+            .select("block_id", F.explode_outer(runs).alias("_e"))
+            .select("block_id", "_e.run_no", "_e.symbol", "_e.start_pos", "_e.run_len"))
 
 
 def run_length_decode(runs: DataFrame) -> DataFrame:
@@ -120,32 +120,31 @@ def block_checkpoints(runs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     the block's chunks and symbols (both bounded by the block size)."""
     per_chunk = (chunk_pieces(runs, chunk).groupBy("block_id", "chunk_no", "symbol")
                  .agg(F.sum(F.col("end_pos") - F.col("start_pos")).cast("long").alias("n")))
-    # One pass: the last chunk of a block (it always holds the block's last
-    # symbol) by a window over the block, then one row per (block, symbol)
-    # carrying its per-chunk counts as a small map (at most block/chunk
-    # entries), expanded into the dense prefix counts.
+    # One row per (block, symbol) with its chunks' counts in order (at most
+    # block/chunk entries), expanded into dense prefix counts by one running sum.
     last = per_chunk.withColumn("_last", F.max("chunk_no").over(Window.partitionBy("block_id")))
     per_symbol = (last.groupBy("block_id", "symbol")
                   .agg(F.max("_last").alias("_last"),
                        F.map_from_entries(F.collect_list(F.struct("chunk_no", "n"))).alias("_m")))
-    dense = F.expr("""transform(sequence(CAST(0 AS BIGINT), _last), k -> struct(k AS chunk_no,
-        aggregate(map_values(map_filter(_m, (c, v) -> c < k)), CAST(0 AS BIGINT), (a, b) -> a + b)
-          AS cnt_before))""")
-    return (per_symbol.select("block_id", "symbol", F.explode_outer(dense).alias("_e"))
-            .select("block_id", F.col("_e.chunk_no").alias("chunk_no"), "symbol",
-                    F.col("_e.cnt_before").alias("cnt_before")))
+    each = per_symbol.select("block_id", "symbol", "_m", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.col("_last"))).alias("chunk_no"))
+    before = Window.partitionBy("block_id", "symbol").orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, -1)
+    n = F.coalesce(F.try_element_at("_m", F.col("chunk_no")), F.lit(0).cast("long"))
+    return each.select("block_id", "chunk_no", "symbol", n.alias("_n")).select(
+        "block_id", "chunk_no", "symbol", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("cnt_before"))
 
 
 def symbol_at(runs: DataFrame, positions: DataFrame) -> DataFrame:
     """``(block_id, pos, symbol)`` for query positions, without decoding.
 
-    A floor join of each position on the run starts of its block (the last
-    run starting at or before it), then a bound check.
+    Runs are cut at every CHUNK positions, so a position and the piece that
+    holds it share ``(block_id, chunk)``: one equi-join, then a bound check.
     """
-    q = positions.select("block_id", F.col("pos").cast("long").alias("pos"))
-    r = runs.select("block_id", F.col("start_pos").cast("long").alias("_start"), "symbol", "run_len")
-    return (floor_join(q, r, "pos", "_start", ["block_id"])
-            .filter(F.col("pos") < F.col("_start") + F.col("run_len"))
+    q = positions.select("block_id", F.col("pos").cast("long").alias("pos"),
+                         F.floor(F.col("pos") / CHUNK).cast("long").alias("chunk_no"))
+    pieces = chunk_pieces(runs).withColumnRenamed("start_pos", "_a").withColumnRenamed("end_pos", "_b")
+    return (q.join(pieces, ["block_id", "chunk_no"])
+            .filter((F.col("pos") >= F.col("_a")) & (F.col("pos") < F.col("_b")))
             .select("block_id", "pos", "symbol"))
 
 
@@ -161,7 +160,7 @@ def rank_at(runs: DataFrame, checkpoints: DataFrame, queries: DataFrame,
                        F.floor(F.greatest(F.col("pos"), F.lit(0)) / chunk).cast("long").alias("chunk_no"))
     base = q.join(checkpoints, ["block_id", "chunk_no", "symbol"], "left")
     pieces = chunk_pieces(runs, chunk).withColumnRenamed("start_pos", "_a").withColumnRenamed("end_pos", "_b")
-    part = (q.join(pieces, ["block_id", "chunk_no", "symbol"])
+    part = (q.distinct().join(pieces, ["block_id", "chunk_no", "symbol"])  # a query may be asked twice
             .filter(F.col("_a") <= F.col("pos"))
             .groupBy("block_id", "pos", "symbol")
             .agg(F.sum(F.least(F.col("_b"), F.col("pos") + 1) - F.col("_a")).alias("_in")))

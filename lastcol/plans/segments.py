@@ -2,121 +2,44 @@
 
 ``Window.partitionBy(key)`` puts every row of a key into one task.  Here the
 rows are range-partitioned on ``(key…, order…)`` instead, so a hot key is cut
-over many partitions; each partition is scanned in order by a vectorised
-NumPy step (``mapInPandas``, Arrow batches, streaming with a carry across
-batches), and the few facts that cross partition borders are resolved on a
-table with a handful of rows per partition, which is broadcast back.
+over many slices.  The slices are written once to the shared folder with their
+number, since range bounds are sampled anew on every execution and all readers
+must agree on them.  Windows then run per slice, and the few facts that cross
+slice borders are resolved on a table with one row per slice.  All of it is
+typed JVM work.
 """
 
 from __future__ import annotations
 
-import sys
+import uuid
 
-import numpy as np
-import pandas as pd
-from pyspark import StorageLevel, TaskContext, cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from lastcol.session import checkpoint_dir
 
-# The scan functions below run in Python workers: ship them by value so that
-# executors need no copy of this package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-
-def _prev(values: np.ndarray, carry) -> np.ndarray:
-    out = np.empty(len(values), dtype=object)
-    out[0] = carry
-    out[1:] = values[:-1]
-    return out
-
-
-def _differs(cur: pd.Series, carry_value, has_carry: bool) -> np.ndarray:
-    """Null-safe ``cur[i] != cur[i-1]``; row 0 is compared with the carry."""
-    vals = cur.to_numpy(dtype=object)
-    prev = _prev(vals, carry_value)
-    cur_null = pd.isna(vals)
-    prev_null = pd.isna(prev)
-    same = (pd.Series(vals) == pd.Series(prev)).to_numpy(dtype=bool)
-    same = np.where(cur_null | prev_null, cur_null & prev_null, same)
-    out = ~same
-    if not has_carry:
-        out[0] = True
-    return out
+def sliced(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
+    """``df`` with its slice number ``_pid`` and its place ``_at`` in it."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lastcol-slices-{uuid.uuid4().hex}"
+    (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+     .withColumn("_pid", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+     .write.parquet(path))
+    return spark.read.parquet(path)
 
 
-def _once(scanned: DataFrame) -> DataFrame:
-    """The scan output is read three times (rows, partition summaries, fix-ups)
-    and partition ids must agree between them.  Range bounds are sampled per
-    execution, so the scan is persisted: every reader then shares one RDD and
-    one partitioner, and a lost block is recomputed through that same
-    lineage.  Spills to disk rather than failing on memory."""
-    return scanned.persist(StorageLevel.MEMORY_AND_DISK)
+def _key(by: list[str]) -> Column:
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(by)]) if by else F.struct(F.lit(0).alias("k0"))
 
 
-def sorted_by_range(df: DataFrame, keys: list[str], order: list[str],
-                    partitions: int | None = None) -> DataFrame:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
-
-
-def local_runs_fn(by: list[str], value: str, start_col: str):
-    """Per partition: maximal runs of equal ``(by, value)`` in row order."""
-
-    def scan(batches):
-        pid = TaskContext.get().partitionId()
-        carry = None          # dict for the open run
-        seq = 0
-        out_cols = ["pid", "seq", *by, value, "start", "run_len", "key_idx"]
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            has = carry is not None
-            key_diff = np.zeros(n, dtype=bool)
-            for c in by:
-                key_diff |= _differs(pdf[c], carry[c] if has else None, has)
-            if not by:
-                key_diff[0] = not has
-            val_diff = _differs(pdf[value], carry[value] if has else None, has)
-            new = key_diff | val_diff
-            starts = np.flatnonzero(new)
-            first_new = starts[0] if len(starts) else n
-            if has:
-                carry["run_len"] += int(first_new)
-            if not len(starts):
-                continue
-            lens = np.diff(np.append(starts, n))
-            # key_idx: ordinal of the run among runs of its key in this partition
-            key_start = key_diff[starts]
-            seg = np.cumsum(key_start)              # key segment per run (0 = carry's key)
-            r = np.arange(len(starts))
-            first_r = np.zeros(seg.max() + 1 if len(seg) else 1, dtype=np.int64)
-            first_r[seg[::-1]] = r[::-1]
-            key_idx = r - first_r[seg]
-            if has:
-                key_idx = np.where(seg == 0, key_idx + carry["key_idx"] + 1, key_idx)
-            rows = pdf.iloc[starts]
-            batch = pd.DataFrame({
-                "pid": pid,
-                "seq": seq + 1 + r if has else seq + r,
-                **{c: rows[c].to_numpy() for c in by},
-                value: rows[value].to_numpy(),
-                "start": rows[start_col].to_numpy(),
-                "run_len": lens.astype(np.int64),
-                "key_idx": key_idx.astype(np.int64),
-            })
-            if has:
-                yield pd.DataFrame([carry])[out_cols]
-            seq = int(batch["seq"].iloc[-1])
-            if len(batch) > 1:
-                yield batch.iloc[:-1]
-            carry = batch.iloc[-1].to_dict()
-        if carry is not None:
-            yield pd.DataFrame([carry])[out_cols]
-
-    return scan
+def _same(cols: list[str], w) -> Column:
+    """Null-safe: the row equals the one before it; NaN equals NaN, not null."""
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(c).eqNullSafe(F.lag(c).over(w))
+    return out
 
 
 def ordered_runs(df: DataFrame, by: list[str], order: list[str], value: str,
@@ -125,24 +48,28 @@ def ordered_runs(df: DataFrame, by: list[str], order: list[str], value: str,
     ``by…, run_no, value, start, run_len`` (``start`` = first ``order``
     column of the run's first row, ``run_no`` 0-based within ``by``)."""
     src = df.select(*dict.fromkeys([*by, *order, value]))
-    fields = {f.name: f.dataType for f in src.schema.fields}
-    schema = T.StructType(
-        [T.StructField("pid", T.IntegerType()), T.StructField("seq", T.LongType())]
-        + [T.StructField(c, fields[c]) for c in by]
-        + [T.StructField(value, fields[value]), T.StructField("start", fields[order[0]]),
-           T.StructField("run_len", T.LongType()), T.StructField("key_idx", T.LongType())])
-    local = _once(sorted_by_range(src, by, order, partitions).mapInPandas(
-        local_runs_fn(by, value, order[0]), schema))
-
-    key = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("_"))
-    ends = local.groupBy("pid").agg(
+    rows = sliced(src, [*by, *order], partitions)
+    w = Window.partitionBy("_pid").orderBy("_at")
+    first = F.row_number().over(w) == 1
+    rows = (rows.withColumn("_newkey", (first | ~_same(by, w)).cast("int"))
+            .withColumn("_new", (first | ~_same([*by, value], w)).cast("int")))
+    rows = rows.withColumn("seq", F.sum("_new").over(w)).withColumn("_seg", F.sum("_newkey").over(w))
+    place = "_at"
+    local = rows.groupBy("_pid", "seq").agg(
+        *[F.min_by(F.col(c), place).alias(c) for c in by],
+        *([] if value in by else [F.min_by(F.col(value), place).alias(value)]),
+        F.min_by(F.col(order[0]), place).alias("start"), F.count("*").alias("run_len"), F.min("_seg").alias("_seg"))
+    local = local.withColumn("key_idx", F.row_number().over(Window.partitionBy("_pid", "_seg").orderBy("seq")) - 1)
+
+    key = _key(by)
+    ends = local.groupBy("_pid").agg(
         F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"),
-        F.min_by(key, "seq").alias("first_key"), F.min_by(F.col(value), "seq").alias("first_val"),
-        F.max_by(key, "seq").alias("last_key"), F.max_by(F.col(value), "seq").alias("last_val"),
+        F.min_by(key, "seq").alias("first_key"), F.min_by(F.struct(F.col(value).alias("v")), "seq").alias("first_val"),
+        F.max_by(key, "seq").alias("last_key"), F.max_by(F.struct(F.col(value).alias("v")), "seq").alias("last_val"),
         F.max_by("key_idx", "seq").alias("last_key_idx"))
-    # ``ends`` has one row per partition: the window below sees a few
-    # thousand rows at most, whatever the data size.
-    w = Window.orderBy("pid")
+    # ``ends`` has one row per slice: the windows below see a few thousand
+    # rows at most, whatever the data size.
+    w = Window.orderBy("_pid")
     cont_key = F.col("first_key").eqNullSafe(F.lag("last_key").over(w))
     ends = (ends.withColumn("cont_key", F.coalesce(cont_key, F.lit(False)))
             .withColumn("cont", F.col("cont_key")
@@ -150,141 +77,84 @@ def ordered_runs(df: DataFrame, by: list[str], order: list[str], value: str,
             .withColumn("new_last", F.col("last_key_idx") + 1
                         - (F.col("cont") & F.col("first_key").eqNullSafe(F.col("last_key"))).cast("long"))
             .withColumn("S", F.sum("new_last").over(
-                Window.partitionBy("last_key").orderBy("pid")
+                Window.partitionBy("last_key").orderBy("_pid")
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
             .withColumn("offset", F.when(F.col("cont_key"), F.lag("S").over(w)).otherwise(F.lit(0)))
             .withColumn("next_cont", F.coalesce(F.lead("cont").over(w), F.lit(False)))
-            .select("pid", "first_seq", "last_seq", "first_key", "cont_key", "cont",
-                    "offset", "next_cont"))
+            .select("_pid", "first_seq", "last_seq", "first_key", "cont_key", "cont", "offset", "next_cont"))
 
-    j = local.join(F.broadcast(ends), "pid")
+    j = local.join(F.broadcast(ends), "_pid")  # one row per slice
     in_first_key = F.col("cont_key") & key.eqNullSafe(F.col("first_key"))
     run_no = F.when(in_first_key, F.col("offset") + F.col("key_idx") - F.col("cont").cast("long")) \
         .otherwise(F.col("key_idx"))
     j = j.withColumn("run_no", run_no.cast("long"))
     crosses = (((F.col("seq") == F.col("first_seq")) & F.col("cont"))
                | ((F.col("seq") == F.col("last_seq")) & F.col("next_cont")))
-    inner = j.filter(~crosses).select(*by, "run_no", value, "start", "run_len")
-    pos = F.struct("pid", "seq")
+    out = [*by, "run_no", *([] if value in by else [value]), "start", F.col("run_len").cast("long").alias("run_len")]
+    inner = j.filter(~crosses).select(*out)
+    pos = F.struct("_pid", "seq")
     merged = (j.filter(crosses).groupBy(*by, "run_no")
-              .agg(F.min_by(F.col(value), pos).alias(value), F.min_by("start", pos).alias("start"),
-                   F.sum("run_len").alias("run_len"))
-              .select(*by, "run_no", value, "start", F.col("run_len").cast("long").alias("run_len")))
+              .agg(*([] if value in by else [F.min_by(F.col(value), pos).alias(value)]),
+                   F.min_by("start", pos).alias("start"), F.sum("run_len").alias("run_len"))
+              .select(*out))
     return inner.unionByName(merged)
 
 
-def _floor_fn(by: list[str], right_cols: list[str], out_cols: list[str]):
-    """Per partition: for each left row, the last right row at or before it
-    (same ``by``), by a running max of right-row indices per key segment."""
-
-    def scan(batches):
-        pid = TaskContext.get().partitionId()
-        carry = None            # last right row (dict) of the open key segment
-        first_key = None
-        last_key = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            if carry is not None:
-                pdf = pd.concat([pd.DataFrame([carry]), pdf], ignore_index=True)
-            n = len(pdf)
-            key_diff = np.zeros(n, dtype=bool)
-            for c in by:
-                key_diff |= _differs(pdf[c], None, False) if n else key_diff
-                key_diff[0] = True
-            seg = np.cumsum(key_diff)
-            is_right = (pdf["_side"] == 0).to_numpy()
-            idx = pd.Series(np.where(is_right, np.arange(n), -1)).groupby(seg).cummax().to_numpy()
-            keys = list(zip(*[pdf[c].tolist() for c in by])) if by else [()] * n
-            if first_key is None:
-                first_key = keys[0] if carry is None else keys[1]
-            left = (~is_right)
-            found = idx >= 0
-            picked = pdf.loc[np.where(found, idx, 0), right_cols].reset_index(drop=True)
-            base = [c for c in out_cols if c not in right_cols and not c.startswith("_")]
-            out = pdf.loc[:, base].copy()
-            for c in by:
-                out["_fk_" + c] = None
-            for c in right_cols:
-                out[c] = picked[c].where(found, None)
-            first_seg = seg == seg[0]
-            in_first = first_seg & np.array([k == first_key for k in keys])
-            out["_need"] = ~found & in_first
-            out["_kind"] = "L"
-            out["_pid"] = pid
-            yield out.loc[left, out_cols]
-            last_key = keys[-1]
-            last_right = idx[-1]
-            if last_right >= 0:
-                carry = pdf.loc[last_right].to_dict()
-            else:
-                carry = None
-        if first_key is not None:
-            summary = {c: None for c in out_cols}
-            summary.update({"_kind": "S", "_pid": pid, "_need": carry is not None})
-            for c, v in zip(by, last_key):
-                summary[c] = v
-            for j, c in enumerate(by):
-                summary["_fk_" + c] = first_key[j]
-            if carry is not None:
-                for c in right_cols:
-                    summary[c] = carry[c]
-            yield pd.DataFrame([summary])[out_cols]
-
-    return scan
-
-
 def floor_join(left: DataFrame, right: DataFrame, left_pos: str, right_pos: str,
-               by: list[str], partitions: int | None = None) -> DataFrame:
+               by: list[str], partitions: int | None = None, tie: list[str] | None = None) -> DataFrame:
     """O13 as-of join: each left row with the last right row (same ``by``)
     whose ``right_pos <= left_pos``; right columns are null when there is none.
 
-    Output: left columns, then right columns other than ``by``.  Column names
-    other than ``by`` must not collide.
+    A null key or position matches nothing.  Of right rows at one position the
+    last by ``tie`` (columns of ``right``; by default all its other columns)
+    is taken.  Output: left columns, then right columns other than ``by``;
+    names other than ``by`` must not collide.
     """
     by = list(by)
     if not by:
         raise ValueError("floor_join needs at least one key column")
     r_payload = [c for c in right.columns if c not in by]
-    clash = set(r_payload) & set(c for c in left.columns if c not in by)
+    l_payload = [c for c in left.columns if c not in by]
+    clash = set(r_payload) & set(l_payload)
     if clash:
         raise ValueError(f"rename colliding columns first: {sorted(clash)}")
-    l_payload = [c for c in left.columns if c not in by]
-    ltypes = {f.name: f.dataType for f in left.schema.fields}
-    rtypes = {f.name: f.dataType for f in right.schema.fields}
-    pos_type = ltypes[left_pos]
-    lsel = ([F.col(c) for c in by] + [F.col(left_pos).alias("_pos"), F.lit(1).alias("_side")]
-            + [F.col(c) for c in l_payload] + [F.lit(None).cast(rtypes[c]).alias(c) for c in r_payload])
-    rsel = ([F.col(c) for c in by] + [F.col(right_pos).cast(pos_type).alias("_pos"), F.lit(0).alias("_side")]
-            + [F.lit(None).cast(ltypes[c]).alias(c) for c in l_payload] + [F.col(c) for c in r_payload])
-    both = left.select(*lsel).unionByName(right.select(*rsel))
-    out_cols = by + l_payload + r_payload + ["_need", "_kind", "_pid"] + ["_fk_" + c for c in by]
-    schema = T.StructType(
-        [T.StructField(c, ltypes[c]) for c in by] + [T.StructField(c, ltypes[c]) for c in l_payload]
-        + [T.StructField(c, rtypes[c]) for c in r_payload]
-        + [T.StructField("_need", T.BooleanType()), T.StructField("_kind", T.StringType()),
-           T.StructField("_pid", T.IntegerType())]
-        + [T.StructField("_fk_" + c, ltypes[c]) for c in by])
-    scanned = _once(sorted_by_range(both, by, ["_pos", "_side"], partitions).mapInPandas(
-        _floor_fn(by, r_payload, out_cols), schema))
-    key = F.struct(*[F.col(c) for c in by])
-    first_key = F.struct(*[F.col("_fk_" + c).alias(c) for c in by])
-    payload = F.struct(*[F.col(c) for c in r_payload])
-    # One summary row per partition: the window below is partition-sized.
-    w = Window.orderBy("_pid")
-    ends = (scanned.filter(F.col("_kind") == "S")
-            .select("_pid", key.alias("_lk"), first_key.alias("_fk"),
-                    F.when(F.col("_need"), payload).alias("_lr"))
-            .withColumn("_acc", F.last("_lr", ignorenulls=True).over(
-                Window.partitionBy("_lk").orderBy("_pid")
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-            .withColumn("_carry", F.when(F.lag("_lk").over(w).eqNullSafe(F.col("_fk")),
-                                         F.lag("_acc").over(w)))
-            .select("_pid", "_carry"))
-    rows = scanned.filter(F.col("_kind") == "L")
-    done = rows.filter(~F.col("_need")).select(*by, *l_payload, *r_payload)
-    filled = (rows.filter(F.col("_need")).select(*by, *l_payload, "_pid")
-              .join(F.broadcast(ends), "_pid", "left")
-              .select(*by, *l_payload, *[F.col("_carry")[c].alias(c) for c in r_payload]))
-    return done.unionByName(filled)
+    tie = list(tie) if tie is not None else [c for c in r_payload if c != right_pos]
+    pos_type = left.schema[left_pos].dataType
+
+    def usable(pos):
+        ok = F.col(pos).isNotNull()
+        for c in by:
+            ok = ok & F.col(c).isNotNull()
+        return ok
+
+    l_row, r_row = F.struct(*l_payload), F.struct(*r_payload)
+    l_type, r_type = left.select(l_row.alias("x")).schema["x"].dataType, right.select(r_row.alias("x")).schema["x"].dataType
+    keys = [F.col(c) for c in by]
+    both = left.filter(usable(left_pos)).select(
+        *keys, F.col(left_pos).alias("_pos"), F.lit(1).alias("_side"), l_row.alias("_l"),
+        F.lit(None).cast(r_type).alias("_r"),
+        *[F.lit(None).cast(right.schema[c].dataType).alias(f"_t{i}") for i, c in enumerate(tie)])
+    both = both.unionByName(right.filter(usable(right_pos)).select(
+        *keys, F.col(right_pos).cast(pos_type).alias("_pos"), F.lit(0).alias("_side"),
+        F.lit(None).cast(l_type).alias("_l"), r_row.alias("_r"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie)]))
+    order = [*by, "_pos", "_side", *[f"_t{i}" for i in range(len(tie))]]
+    rows = sliced(both, order, partitions)
+    key = _key(by)
+    rows = rows.withColumn("_got", F.last("_r", ignorenulls=True).over(
+        Window.partitionBy("_pid", *by).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    # per slice: its first and last key, and the last right row of the last key
+    span = rows.groupBy("_pid").agg(F.min_by(key, "_at").alias("_fk"), F.max_by(key, "_at").alias("_lk"),
+                                    F.max_by(F.struct("_got"), "_at").alias("_lr"))
+    w = Window.orderBy("_pid")  # one row per slice
+    acc = F.last(F.col("_lr._got"), ignorenulls=True).over(
+        Window.partitionBy("_lk").orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ends = (span.withColumn("_acc", acc)
+            .withColumn("_carry", F.when(F.lag("_lk").over(w) == F.col("_fk"), F.lag("_acc").over(w)))
+            .select("_pid", "_fk", "_carry"))
+    found = rows.filter(F.col("_side") == 1).join(F.broadcast(ends), "_pid").withColumn(
+        "_got", F.coalesce("_got", F.when(key == F.col("_fk"), F.col("_carry"))))
+    out = found.select(*by, *[F.col("_l")[c].alias(c) for c in l_payload], *[F.col("_got")[c].alias(c) for c in r_payload])
+    rest = left.filter(~usable(left_pos)).select(
+        *by, *l_payload, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in r_payload])
+    return out.unionByName(rest)
