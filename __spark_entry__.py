@@ -2,9 +2,8 @@
 
 Every query reads the driver's tables (or data Spark derives from them) in
 full.  ``documents`` is the corpus: ``record_id = doc_id``, ``content = text``.
-Queries with no oracle are those whose SQL form would sort every rotation of
-every 4,096-character block; their tests compare against brute force on
-small inputs instead.
+The transform's oracle sorts every rotation of every block in SQL, so its
+queries cut texts into blocks of 256 characters; round trips use 4,096.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ from lastcol.plans import segments as sg
 from lastcol.plans.tables import documents, table
 from lastcol.session import checkpoint_dir
 from lastcol.sources import format_records, read_tagged, records_from, write_tagged_records
-from lastcol.sources.runs_store import read_runs, write_runs
+from lastcol.sources.runs_store import compress, decompress, read_runs, write_runs
 
 try:  # the training-data operators are an optional subpackage
     import corpus_pipeline
@@ -49,6 +48,8 @@ COUNT_PATTERN = "ana"
 INDEXED_PATTERN = "nderou"
 HITS_PATTERN = "the"
 CHECKPOINT_CHUNK = 4
+LOOKUP_IDS = [0, 7, 42, 199, 500, 999, 1_000_000_000]
+BWT_BLOCK = 256  # short enough for SQL to sort every rotation
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -142,9 +143,15 @@ def q_multi_keyword_search(spark, sf):
     return ix.multi_keyword_search(documents(spark, sf), _benchmark_patterns(spark, sf))
 
 
+def _built_index(spark, sf):
+    index, _ = ix.ensure_index(documents(spark, sf), _scratch(spark, "index"))
+    return index
+
+
 def q_multi_keyword_search_grams(spark, sf):
-    return ix.multi_keyword_search(documents(spark, sf), _benchmark_patterns(spark, sf),
-                                   max_broadcast_patterns=0)
+    """On a stored index."""
+    recs = documents(spark, sf)
+    return ix.multi_keyword_search(recs, _benchmark_patterns(spark, sf), index=_built_index(spark, sf))
 
 
 def _benchmark_words(spark, sf):
@@ -154,12 +161,13 @@ def _benchmark_words(spark, sf):
 
 
 def q_multi_keyword_words(spark, sf):
-    return ix.multi_keyword_search(documents(spark, sf), _benchmark_words(spark, sf))
+    """On a stored index."""
+    recs = documents(spark, sf)
+    return ix.multi_keyword_search(recs, _benchmark_words(spark, sf), index=_built_index(spark, sf))
 
 
 def q_multi_keyword_words_grams(spark, sf):
-    return ix.multi_keyword_search(documents(spark, sf), _benchmark_words(spark, sf),
-                                   max_broadcast_patterns=0)
+    return ix.multi_keyword_search(documents(spark, sf), _benchmark_words(spark, sf))
 
 
 def q_distinct_hits(spark, sf):
@@ -264,8 +272,12 @@ def q_inverse_bwt_part(spark, sf):
     return rot.inverse_bwt(rot.bwt(_part_blocks(spark, sf)))
 
 
+def _short_blocks(spark, sf):
+    return rot.make_blocks(documents(spark, sf), block_size=BWT_BLOCK).select("block_id", "text")
+
+
 def q_bwt_documents(spark, sf):
-    return rot.bwt(_doc_blocks(spark, sf))
+    return rot.bwt(_short_blocks(spark, sf))
 
 
 def q_inverse_bwt_documents(spark, sf):
@@ -274,7 +286,7 @@ def q_inverse_bwt_documents(spark, sf):
 
 def q_compressed_size_bwt(spark, sf):
     """The compress path: blocks -> BWT -> runs -> encoded size."""
-    b = rot.bwt(_doc_blocks(spark, sf)).select("block_id", F.col("bwt_text").alias("text"))
+    b = rot.bwt(_short_blocks(spark, sf)).select("block_id", F.col("bwt_text").alias("text"))
     return rl.compressed_size(rl.text_runs(b))
 
 
@@ -283,9 +295,42 @@ def q_gram_postings(spark, sf):
 
 
 def q_indexed_search(spark, sf):
-    recs = documents(spark, sf)
-    index, _ = ix.ensure_index(recs, _scratch(spark, "index"))
-    return ix.indexed_search(index, recs, INDEXED_PATTERN)
+    return ix.indexed_search(_built_index(spark, sf), INDEXED_PATTERN)
+
+
+def q_index_reuse(spark, sf):
+    """The index found again by its input's files; no record is read for that."""
+    recs, path = documents(spark, sf), _scratch(spark, "index")
+    ix.build_index(recs, path)
+    index, built = ix.ensure_index(recs, path)
+    if built:
+        raise RuntimeError("the index was not reused")
+    return ix.indexed_search(index, INDEXED_PATTERN)
+
+
+def q_lookup_ids(spark, sf):
+    return rec.lookup_records(documents(spark, sf), LOOKUP_IDS)
+
+
+def q_tagged_malformed(spark, sf):
+    """Every kind of malformed tag, made from all events."""
+    path = _scratch(spark, "malformed")
+    kind = F.col("event_id") % 5
+    line = (F.when(kind == 0, F.concat(F.lit("["), F.col("event_id"), F.lit("]"), F.col("event_type")))
+            .when(kind == 1, F.concat(F.lit("["), F.col("event_type"), F.lit("]"), F.col("event_id")))
+            .when(kind == 2, F.concat(F.lit("[]"), F.col("event_id")))
+            .when(kind == 3, F.concat(F.lit("["), F.col("event_id")))
+            .otherwise(F.concat(F.lit("[99999999999999999999]"), F.col("event_id"))))
+    table(spark, sf, "events").select(line.alias("value")).write.text(path)
+    return read_tagged(spark, path, strip_newline=True).rejects.select(
+        F.regexp_replace("raw", r"\n$", "").alias("raw"), "reason")
+
+
+def q_compressed_store(spark, sf):
+    """Blocks, transform, runs, store, and all the way back."""
+    path = _scratch(spark, "compressed")
+    compress(documents(spark, sf), path)
+    return decompress(spark, path)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -343,16 +388,24 @@ def _core_queries():
         "compressed_size_bwt": q_compressed_size_bwt,
         "gram_postings": q_gram_postings,
         "indexed_search": q_indexed_search,
+        "index_reuse": q_index_reuse,
+        "lookup_ids": q_lookup_ids,
+        "tagged_malformed": q_tagged_malformed,
+        "compressed_store": q_compressed_store,
     }
 
 
 # ---------------------------------------------------------------- oracles
 
-_DOC_BLOCKS = """
-  SELECT doc_id * 65536 + s AS block_id, substr(text, CAST(s * 4096 + 1 AS BIGINT), 4096) AS text
-  FROM (SELECT doc_id, text, unnest(range(0, CAST(ceil(length(text) / 4096.0) AS BIGINT))) AS s
+def _blocks_sql(size: int) -> str:
+    return f"""
+  SELECT doc_id * 65536 + s AS block_id, substr(text, CAST(s * {size} + 1 AS BIGINT), {size}) AS text
+  FROM (SELECT doc_id, text, unnest(range(0, CAST(ceil(length(text) / {size}.0) AS BIGINT))) AS s
         FROM documents WHERE length(text) > 0)"""
 
+
+_DOC_BLOCKS = _blocks_sql(4096)
+
 _PART_BLOCKS = "SELECT p_partkey AS block_id, p_name AS text FROM part WHERE length(p_name) > 0"
 
 
@@ -413,6 +466,15 @@ def _bwt_sql(blocks: str) -> str:
   GROUP BY block_id"""
 
 
+def _size_sql(runs: str) -> str:
+    return f"""
+  WITH r AS ({runs})
+  SELECT block_id, CAST(sum(run_len) AS BIGINT) AS n_chars, CAST(count(*) AS BIGINT) AS n_runs,
+         CAST(sum({_encoded_bytes('run_len')}) AS BIGINT) AS encoded_bytes,
+         CAST(sum({_encoded_bytes('run_len')}) AS DOUBLE) / CAST(sum(run_len) AS DOUBLE) AS ratio
+  FROM r GROUP BY ROLLUP (block_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = _core_oracles()
     if llm_queries is not None:
@@ -489,12 +551,9 @@ def _core_oracles():
         "run_length_decode": _DOC_BLOCKS,
         "run_length_decode_rows": f"SELECT block_id, pos, symbol FROM ({part_chars})",
         "runs_store_round_trip": _text_runs(_PART_BLOCKS),
-        "compressed_size": f"""
-  WITH r AS ({_text_runs(_DOC_BLOCKS)})
-  SELECT block_id, CAST(sum(run_len) AS BIGINT) AS n_chars, CAST(count(*) AS BIGINT) AS n_runs,
-         CAST(sum({_encoded_bytes('run_len')}) AS BIGINT) AS encoded_bytes,
-         CAST(sum({_encoded_bytes('run_len')}) AS DOUBLE) / CAST(sum(run_len) AS DOUBLE) AS ratio
-  FROM r GROUP BY ROLLUP (block_id)""",
+        "compressed_size": _size_sql(_text_runs(_DOC_BLOCKS)),
+        "compressed_size_bwt": _size_sql(_text_runs(
+            f"SELECT block_id, bwt_text AS text FROM ({_bwt_sql(_blocks_sql(BWT_BLOCK))})")),
         "symbol_histogram": f"""
   WITH c AS (SELECT block_id, symbol, CAST(count(*) AS BIGINT) AS cnt FROM ({_chars(_DOC_BLOCKS)})
              GROUP BY block_id, symbol)
@@ -538,10 +597,21 @@ def _core_oracles():
   FROM r""",
         "bwt_part": _bwt_sql(_PART_BLOCKS),
         "inverse_bwt_part": _PART_BLOCKS,
+        "bwt_documents": _bwt_sql(_blocks_sql(BWT_BLOCK)),
+        "inverse_bwt_documents": _DOC_BLOCKS,
         "gram_postings": """
   SELECT DISTINCT gram, record_id FROM (
     SELECT doc_id AS record_id,
            unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram
     FROM (SELECT doc_id, string_split(text, '') AS c FROM documents WHERE length(text) >= 3))""",
         "indexed_search": f"{docs} WHERE contains(text, '{INDEXED_PATTERN}') ORDER BY doc_id",
+        "index_reuse": f"{docs} WHERE contains(text, '{INDEXED_PATTERN}') ORDER BY doc_id",
+        "lookup_ids": f"{docs} WHERE doc_id IN ({', '.join(map(str, LOOKUP_IDS))})",
+        "compressed_store": docs,
+        "tagged_malformed": """
+  SELECT CASE event_id % 5 WHEN 1 THEN event_type || ']' || event_id WHEN 2 THEN ']' || event_id
+              WHEN 3 THEN CAST(event_id AS VARCHAR) ELSE '99999999999999999999]' || event_id END AS raw,
+         CASE event_id % 5 WHEN 1 THEN 'id not a number' WHEN 2 THEN 'empty id'
+              WHEN 3 THEN 'missing ]' ELSE 'id out of range' END AS reason
+  FROM events WHERE event_id % 5 <> 0""",
     }

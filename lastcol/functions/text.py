@@ -49,24 +49,6 @@ def occurrences(text, pattern: str) -> Column:
     return F.regexp_count(_col(text), F.lit("(?=" + regex_literal(pattern) + ")"))
 
 
-# A character that cannot start a match is put in front of the text, so that
-# a match at position 1 still yields a (non-empty) leading piece.
-_SENTINEL = "\u0001"
-
-
-def match_pieces(text, pattern: str) -> Column:
-    """``sentinel + text`` cut in front of every match start (overlapping).
-
-    Piece k (k >= 1) begins at a match; the match's 1-based position in
-    ``text`` is the total length of pieces 0..k-1.
-    """
-    if not pattern:
-        raise ValueError("empty pattern")
-    sentinel = _SENTINEL if not pattern.startswith(_SENTINEL) else "\u0002"
-    return F.split(F.concat(F.lit(sentinel), _col(text)),
-                   "(?=" + regex_literal(pattern) + ")", -1)
-
-
 def grams(char_array, n: int = 3) -> Column:
     """Distinct character n-grams from a character array column (see :func:`chars`).
 
@@ -97,7 +79,8 @@ def encoded_run_bytes(run_len) -> Column:
     n = _col(run_len)
     v = n - 3
     groups = (F.when(v < 1 << 7, 1).when(v < 1 << 14, 2).when(v < 1 << 21, 3)
-              .when(v < 1 << 28, 4).when(v < 1 << 35, 5).otherwise(6))
+              .when(v < 1 << 28, 4).when(v < 1 << 35, 5).when(v < 1 << 42, 6).when(v < 1 << 49, 7)
+              .when(v < 1 << 56, 8).otherwise(9))
     return F.when(n == 1, F.lit(1)).when(n == 2, F.lit(2)).otherwise(1 + groups).cast("long")
 
 

@@ -1,24 +1,7 @@
-"""Schemas shared by the operators (defined once, never inferred)."""
+"""Schema of stored runs (never inferred)."""
 
 from pyspark.sql import types as T
 
-RECORDS = T.StructType([
-    T.StructField("record_id", T.LongType(), False),
-    T.StructField("content", T.StringType(), True),
-])
-
-TAGGED_RECORDS = T.StructType([
-    T.StructField("source", T.StringType(), False),
-    T.StructField("record_id", T.LongType(), False),
-    T.StructField("content", T.StringType(), True),
-])
-
-TAGGED_REJECTS = T.StructType([
-    T.StructField("source", T.StringType(), False),
-    T.StructField("raw", T.StringType(), True),
-    T.StructField("reason", T.StringType(), False),
-])
-
 # One row per maximal run of equal symbols inside a block.
 RUNS = T.StructType([
     T.StructField("block_id", T.LongType(), False),
@@ -27,15 +10,3 @@ RUNS = T.StructType([
     T.StructField("start_pos", T.LongType(), False),
     T.StructField("run_len", T.LongType(), False),
 ])
-
-BLOCKS = T.StructType([
-    T.StructField("block_id", T.LongType(), False),
-    T.StructField("text", T.StringType(), False),
-])
-
-BWT = T.StructType([
-    T.StructField("block_id", T.LongType(), False),
-    T.StructField("bwt_text", T.StringType(), False),
-    T.StructField("start_rank", T.LongType(), False),
-    T.StructField("period", T.LongType(), False),
-])

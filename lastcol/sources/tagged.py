@@ -73,11 +73,21 @@ def read_tagged_rejects(spark: SparkSession, path, strip_newline: bool = False)
 
 
 def records_from(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """O2: any table as ``(record_id, content)``; a null id is an error."""
-    rid = F.col(id_col).cast("long")
-    # the check lives inside the id expression, so column pruning keeps it
-    checked = F.when(rid.isNull(), F.raise_error(F.lit(f"null {id_col}"))).otherwise(rid)
-    return df.select(checked.alias("record_id"), F.col(text_col).cast("string").alias("content"))
+    """O2: any table as ``(record_id, content)``.  A long id column is passed on
+    as it is, so that filters on ``record_id`` reach the scan; ids are checked
+    by :func:`check_ids`."""
+    rid = F.col(id_col) if df.schema[id_col].dataType.typeName() == "long" else F.col(id_col).cast("long")
+    text = F.col(text_col)
+    if df.schema[text_col].dataType.typeName() != "string":
+        text = text.cast("string")
+    return df.select(rid.alias("record_id"), text.alias("content"))
+
+
+def check_ids(records: DataFrame) -> DataFrame:
+    """``records``, after a job that raises if an id is null."""
+    if not records.filter(F.col("record_id").isNull()).isEmpty():
+        raise ValueError("null record_id")
+    return records
 
 
 def tagged_text(record_id="record_id", content="content") -> Column:

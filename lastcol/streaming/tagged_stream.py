@@ -16,8 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lastcol.session import checkpoint_dir
-
 _ID_RE = r"^[0-9]+$"
 
 
@@ -46,13 +44,13 @@ def search_stream(spark: SparkSession, path: str, pattern: str, strip_newline: b
             .filter(F.col("content").contains(pattern)).select("record_id", "content"))
 
 
-def start_search_stream(spark: SparkSession, path: str, pattern: str, out_path: str,
+def start_search_stream(spark: SparkSession, path: str, pattern: str, out_path: str, checkpoint: str,
                         strip_newline: bool = False, available_now: bool = False) -> StreamingQuery:
-    """Append hits to Parquet at ``out_path``; progress is kept under the
-    shared checkpoint folder so a restarted query resumes exactly once."""
-    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/lastcol-stream-{abs(hash((path, pattern, out_path)))}"
+    """Append hits to Parquet at ``out_path``.  Progress is kept in the folder
+    ``checkpoint``: a query started again with the same folder goes on where
+    the last one stopped, and appends each hit once."""
     writer = (search_stream(spark, path, pattern, strip_newline).writeStream
-              .format("parquet").option("path", out_path).option("checkpointLocation", ckpt)
+              .format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()

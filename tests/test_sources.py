@@ -26,5 +26,22 @@ def test_round_trip(spark, tmp_path):
 def test_records_from_null_id(spark):
     import pytest
     df = spark.createDataFrame([(None, "x")], "i long, t string")
-    with pytest.raises(Exception):
-        records_from(df, "i", "t").collect()
+    from lastcol.sources import check_ids
+    with pytest.raises(ValueError):
+        check_ids(records_from(df, "i", "t"))
+
+
+def test_id_filter_reaches_the_scan(spark, tmp_path):
+    from lastcol.operators.records import lookup_records
+    spark.range(100).selectExpr("id AS i", "string(id) AS t").write.parquet(str(tmp_path / "t"))
+    recs = records_from(spark.read.parquet(str(tmp_path / "t")), "i", "t")
+    found = lookup_records(recs, [3, 7, 500])
+    assert "PushedFilters: [In(i, [" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.record_id for r in found.collect()) == [3, 7]
+
+
+def test_compressed_store_round_trip(spark, tmp_path):
+    from lastcol.sources.runs_store import compress, decompress
+    rows = [(1, "banana" * 50), (2, ""), (3, None), (4, "é\n x" * 7), (5, "a")]
+    compress(spark.createDataFrame(rows, "record_id long, content string"), str(tmp_path / "c"), block_size=64)
+    assert sorted(tuple(r) for r in decompress(spark, str(tmp_path / "c")).collect()) == rows
