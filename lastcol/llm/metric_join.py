@@ -33,21 +33,27 @@ BLOCK = 2048
 #: Slack of the boundary test, far above rounding.
 SLACK = 1e-6
 
-_POINTS = "label long, point long, weight long, v array<double>"
+
+def _units(frames):
+    for pdf in frames:
+        ids, labels, out = [], [], []
+        for i, label, v in zip(pdf["vec_id"], pdf["label"], pdf["embedding"], strict=True):
+            x = np.asarray(v, dtype=np.float64)  # a null component becomes nan
+            big = np.abs(x).max(initial=0.0)
+            if big > 0 and np.isfinite(x).all():
+                x = x / big  # keeps squares of tiny or huge components finite
+                ids.append(i)
+                labels.append(label)
+                out.append(x / np.sqrt(x @ x))
+        yield pd.DataFrame({"vec_id": ids, "label": labels, "v": out})
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
     """Unit vectors in double precision.  Rows with a null id or label, and
     null, empty, zero, incomplete or non-finite vectors, are left out."""
-    v = F.transform("embedding", lambda x: x.cast("double"))
-    big = F.array_max(F.transform(v, F.abs))
-    finite = F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.forall(
-        v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & (big > 0)
-    scaled = F.transform(v, lambda x: x / big)  # keeps squares of tiny or huge components finite
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, x: a + x * x))
-    return (vectors.filter(finite & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
-            .select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
-                    F.transform(scaled, lambda x: x / norm).alias("v")))
+    return (vectors.filter(F.col("embedding").isNotNull() & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
+            .select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding")
+            .mapInPandas(_units, "vec_id long, label long, v array<double>"))
 
 
 def _cells(pivots: dict[tuple[int, int], np.ndarray], r: float):
