@@ -20,6 +20,7 @@ of its worst sentence.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -187,7 +188,7 @@ class Scorer:
 
 def _split(text: str) -> list[list[str]]:
     out, cur = [], []
-    for w in tokens(text):
+    for w in map(sys.intern, tokens(text)):  # a word is held once, however often it occurs
         cur.append(w)
         if w.endswith(_ENDS) or len(cur) == SENTENCE:
             out.append(cur)
