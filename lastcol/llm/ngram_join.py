@@ -172,7 +172,7 @@ def _postings(classes: np.ndarray):
 def _pairs(frames):
     """Postings arrive by order and token.  Gives the pairs of small groups
     (with their order) and the ties of large ones (order -1)."""
-    carry = None  # the last group, unfinished; at most GROUP + 1 rows
+    carry = None  # the last group, unfinished; at most GROUP rows
     for pdf in frames:
         tie = pdf["mark"].to_numpy() == 2
         if tie.any():
@@ -185,6 +185,8 @@ def _pairs(frames):
         cut = int(np.flatnonzero((rows[:, 0] != rows[-1, 0]) | (rows[:, 1] != rows[-1, 1])).max(initial=-1)) + 1
         yield from _grouped(rows[:cut])
         carry = rows[cut:]
+        if len(carry) > GROUP:
+            carry = _distinct(carry)  # a node comes once for each batch that holds it
         if len(carry) > GROUP:  # large already: tie what is here, keep its first as a mark
             yield from _grouped(carry)
             carry = carry[:1].copy()
@@ -197,14 +199,17 @@ def _edges(a, b, order) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "ord": np.int8(order)})
 
 
+def _distinct(rows: np.ndarray) -> np.ndarray:
+    """One row per node of a group, sorted; a node marked hot keeps its mark."""
+    rows = rows[np.lexsort((rows[:, 4] == 0, rows[:, 2], rows[:, 1], rows[:, 0]))]
+    same = (rows[1:, :3] == rows[:-1, :3]).all(1)
+    return rows[np.r_[True, ~same]]
+
+
 def _grouped(rows: np.ndarray) -> Iterator[pd.DataFrame]:
     if len(rows) < 2:
         return
-    by = np.lexsort((rows[:, 4] == 0, rows[:, 2], rows[:, 1], rows[:, 0]))
-    rows = rows[by]
-    same = (rows[1:, :3] == rows[:-1, :3]).all(1)
-    # one row per node; a node marked hot keeps its mark
-    rows = rows[np.r_[True, ~same]]
+    rows = _distinct(rows)
     new = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1)]
     starts = np.flatnonzero(new)
     size = np.diff(np.r_[starts, len(rows)])

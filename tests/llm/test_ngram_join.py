@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from lastcol.llm import ngram_join as nj
@@ -100,3 +101,20 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in nj.ngram_components(df).collect())
     assert got == [(0, 4, None), (3, 4, 3), (5, 4, 3), (5, 4, 3), (9, 1, 9)]
     assert nj.ngram_components(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("nodes", [5, 200])
+def test_pairs_of_a_group_over_many_frames_of_repeated_nodes(nodes):
+    """Each two nodes of a token are listed or tied, however often each of
+    them comes and wherever the frames end."""
+    fp = np.r_[np.full(100, 1), 2, np.full(100, 1), np.arange(3, nodes + 1), np.full(100, 1)]
+    for step in (1, 30, 101, 1000):
+        frames = [pd.DataFrame({"token": 7, "fp": fp[at:at + step], "np": 100 << 32, "ord": np.int8(0),
+                                "mark": np.int8(0)}) for at in range(0, len(fp), step)]
+        found = pd.concat(list(nj._pairs(iter(frames))))
+        listed = {(a, b) for a, b, o in zip(found.a, found.b, found.ord, strict=True) if o == 0}
+        low = {i: i for i in range(1, nodes + 1)}
+        for a, b in found.loc[found.ord == -1, ["a", "b"]].to_numpy():
+            x, y = low[a], low[b]
+            low = {k: min(x, y) if v in (x, y) else v for k, v in low.items()}
+        assert all((a, b) in listed or low[a] == low[b] for b in low for a in range(1, b))
