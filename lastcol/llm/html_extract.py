@@ -4,15 +4,19 @@ Pages of one host share their layout.  Their DOMs are merged into one tree per
 host: a node is the path of presentation steps (tag, and its class or id) from
 the root, and holds how many pages have it and how its content varies over
 them.  As in Yi, Liu and Li (2003), a node matters when its content differs
-from page to page (entropy near 1) and not when pages repeat it (near 0).
-Branches of low importance are removed from each page.  Elements that HTML
-itself marks as no content (nav, header, footer, aside, form, script, style and
-so on) and those whose class, id or role says so get importance 0, since such a
-branch may well vary over pages (a menu of neighbours, say).
-
-Node statistics are aggregated with map-side combine over (host, node,
-content), so a host with a third of all pages is no larger per task than its
-number of different branches.
+from page to page (entropy near 1) and not when pages repeat it (near 0), and
+so does each block in a node (a feature of the node): a line that k of the
+node's m pages hold has importance 1 - log k / log m.  Branches and blocks of
+low importance are removed from each page, wherever they stand, also within an
+article or main element, and all others are kept.  Elements that HTML itself
+marks as no content (nav, header, footer, aside, form, script, style and so on)
+and those whose class, id or role says so get importance 0, since such a branch
+may well vary over pages (a menu of neighbours, say).
+
+Pages whose blocks are equal count as one page, so copies of an article do not
+make it a repeated branch.  Statistics are aggregated with map-side combine
+over (host, node, content), so a host with a third of all pages is no larger
+per task than its number of different branches.
 """
 
 from __future__ import annotations
@@ -170,7 +174,7 @@ def _prefixes(path: str) -> list[str]:
     for s in steps:
         cur = f"{cur}/{s}"
         out.append(cur)
-    return out
+    return out or [""]
 
 
 def _hash(text: str) -> int:
@@ -178,22 +182,30 @@ def _hash(text: str) -> int:
     return zlib.crc32(raw) << 31 ^ zlib.adler32(raw) ^ len(raw) << 7
 
 
-def branches(page: str) -> dict[str, int]:
+def _key(path: str, text: str) -> int:
+    return _hash(f"{path}\t{text}")
+
+
+def branches(blocks: list[tuple[str, str]]) -> dict[str, int]:
     """For every node that holds text: a hash of all text below it."""
     below: dict[str, list[str]] = {}
-    for path, text in parse(page):
+    for path, text in blocks:
         for p in _prefixes(path):
             below.setdefault(p, []).append(text)
     return {p: _hash("\n".join(t)) for p, t in below.items()}
 
 
 def _nodes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Branches (``block`` false) and distinct blocks (true) of each page."""
     for pdf in frames:
         for at in range(0, len(pdf), 256):
             rows = []
             for host, page in zip(pdf["host"].iloc[at:at + 256], pdf["html"].iloc[at:at + 256], strict=True):
-                rows += [(host, p, h) for p, h in branches(page).items()]
-            yield pd.DataFrame(rows, columns=["host", "path", "content"])
+                blocks = parse(page)
+                own = _hash("\n".join(f"{p}\t{t}" for p, t in blocks))
+                rows += [(host, p, h, own, False) for p, h in branches(blocks).items()]
+                rows += [(host, p, _key(p, t), own, True) for p, t in set(blocks)]
+            yield pd.DataFrame(rows, columns=["host", "path", "content", "page", "block"])
 
 
 def host_of(url: str = "url"):
@@ -202,28 +214,32 @@ def host_of(url: str = "url"):
                                                1), F.lit("")))
 
 
+def _counts(pages: DataFrame, copies: bool) -> DataFrame:
+    """``host, path, block, content, count``: pages by branch and block, with
+    or without the pages whose blocks equal another's."""
+    nodes = pages.select("host", "html").mapInPandas(
+        _nodes, "host string, path string, content long, page long, block boolean")
+    return (nodes if copies else nodes.distinct()).groupBy("host", "path", "block", "content").count()
+
+
+def _trees(counts: DataFrame) -> DataFrame:
+    sums = counts.filter("not block").groupBy("host", "path").agg(
+        F.sum("count").alias("n_pages"), F.sum(F.col("count") * F.log("count")).alias("s"))
+    return sums.select("host", "path", "n_pages", F.when(F.col("n_pages") > 1, (
+        F.log("n_pages") - F.col("s") / F.col("n_pages")) / F.log("n_pages")).otherwise(1.0).alias("importance"))
+
+
 def importance(pages: DataFrame) -> DataFrame:
     """The site style trees: ``host, path, n_pages, importance``.  A node's
     importance is the entropy of its content over the host's pages that hold
     it, to the base of their number: 1 when all differ, 0 when all agree."""
-    nodes = pages.select("host", "html").mapInPandas(_nodes, "host string, path string, content long")
-    counts = nodes.groupBy("host", "path", "content").count()
-    sums = counts.groupBy("host", "path").agg(
-        F.sum("count").alias("n_pages"), F.sum(F.col("count") * F.log("count")).alias("s"))
-    return sums.select("host", "path", "n_pages", F.when(F.col("n_pages") > 1, (
-        F.log("n_pages") - F.col("s") / F.col("n_pages")) / F.log("n_pages")).otherwise(1.0).alias("importance"))
+    return _trees(_counts(pages, copies=True))
 
 
-def _main_text(page: str | None, removed: frozenset[str]) -> str:
-    """Blocks outside the removed branches; within an article or main element
-    if the page has one with text."""
-    blocks = [(p, t) for p, t in parse(page or "") if not any(x in removed for x in _prefixes(p))]
-    for mark in ("/article", "/main"):
-        inside = [(p, t) for p, t in blocks if re.search(rf"{mark}(?:[./]|$)", p)]
-        if inside:
-            blocks = inside
-            break
-    return "\n".join(t for _, t in blocks)
+def _main_text(page: str | None, removed: frozenset[str], repeated: frozenset[int] = frozenset()) -> str:
+    """Blocks outside the removed branches that are none of the repeated ones."""
+    return "\n".join(t for p, t in parse(page or "") if not (removed and any(x in removed for x in _prefixes(p)))
+                     and not (repeated and _key(p, t) in repeated))
 
 
 def extract(pages: DataFrame, min_importance: float = MIN_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -231,19 +247,25 @@ def extract(pages: DataFrame, min_importance: float = MIN_IMPORTANCE, min_pages:
 
     A null or empty html gives an empty text; pages without a url are one
     host of their own, and are judged by their marks alone.  Repeated rows are
-    extracted alike, and an exact copy of a page says nothing about variation
-    (a branch that differs on no page of a host is removed only outside an
-    article or main element).  An empty table gives an empty result; other
-    columns are ignored.
+    extracted alike, and a page with the same blocks as another says nothing
+    about variation.  An empty table gives an empty result; other columns are
+    ignored.
     """
     rows = pages.select(plain_id("page_id"), "url", host_of().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    low = stored(importance(rows.filter(F.col("host") != "")).filter(
-        (F.col("n_pages") >= min_pages) & (F.col("importance") < min_importance)
-        & ~F.col("path").rlike(r"/(?:article|main)(?:[./]|$)")).groupBy("host").agg(
-            F.collect_set("path").alias("removed")), "style-tree")
-    if low.select(F.sum(F.size("removed"))).first()[0] is None:
-        joined = rows.withColumn("removed", F.array().cast("array<string>"))
-    elif low.select(F.sum(F.size("removed"))).first()[0] <= BROADCAST_ROWS:
+    counts = stored(_counts(rows.filter(F.col("host") != ""), copies=False), "branches")
+    trees = _trees(counts).filter(F.col("n_pages") >= min_pages)
+    branch = trees.filter(F.col("importance") < min_importance).select(
+        "host", "path", F.lit(None).cast("long").alias("content"))
+    # the first filter follows from the last and n_pages >= min_pages; it keeps the join small
+    block = (counts.filter(F.col("block") & (F.col("count") > min_pages ** (1 - min_importance) * 0.999))
+             .join(trees, ["host", "path"]).filter(1 - F.log("count") / F.log("n_pages") < min_importance)
+             .select("host", F.lit(None).cast("string").alias("path"), "content"))
+    low = stored(branch.unionByName(block).groupBy("host").agg(
+        F.collect_list("path").alias("removed"), F.collect_list("content").alias("repeated")), "style-tree")
+    n_low = low.select(F.sum(F.size("removed") + F.size("repeated"))).first()[0]
+    if n_low is None:
+        joined = rows.withColumns({c: F.lit(None).cast(low.schema[c].dataType) for c in ("removed", "repeated")})
+    elif n_low <= BROADCAST_ROWS:
         joined = rows.join(F.broadcast(low), "host", "left")
     else:
         joined = rows.join(low, "host", "left")
@@ -252,11 +274,11 @@ def extract(pages: DataFrame, min_importance: float = MIN_IMPORTANCE, min_pages:
         for pdf in frames:
             for at in range(0, len(pdf), 256):
                 part = pdf.iloc[at:at + 256]
-                text = [_main_text(h, frozenset(() if r is None else r))
-                        for h, r in zip(part["html"], part["removed"], strict=True)]
+                text = [_main_text(h, frozenset(() if r is None else r), frozenset(() if b is None else b))
+                        for h, r, b in zip(part["html"], part["removed"], part["repeated"], strict=True)]
                 yield pd.DataFrame({"page_id": part["page_id"], "url": part["url"], "text": text,
                                     "n_chars": [len(t) for t in text]})
 
-    return (joined.select("page_id", "url", "html", "removed")
+    return (joined.select("page_id", "url", "html", "removed", "repeated")
             .mapInPandas(run, "page_id long, url string, text string, n_chars long")
             .withColumn("page_id", null_id("page_id")))

@@ -69,3 +69,19 @@ def test_importance_equals_brute_force(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert hx.extract(df).count() == 0
+
+
+def test_importance_decides_inside_and_beside_an_article(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    body = [" ".join(word() for _ in range(20)) for _ in range(60)]
+    pages = [f"<body><main><article><h1>{b[:20]}</h1><p>{b}</p><p>Pass this on to your friends</p><div class=lead>"
+             f"Our fine shop</div></article><div class=more><p>{b[::-1]}</p><p>All rights kept</p></div></main></body>"
+             for b in body]
+    copies = [pages[0]] * 200  # one page, however often it is delivered
+    df = spark.createDataFrame([(i, "http://a.example.com/", h) for i, h in enumerate(pages + copies)],
+                               "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in hx.extract(df).collect()}
+    assert out == {i: f"{b[:20].strip()}\n{b}\n{b[::-1]}" for i, b in enumerate(body + [body[0]] * 200)}
+    few = {r.page_id: r.text for r in hx.extract(df.filter("page_id < 5")).collect()}
+    assert all(t.count("\n") == 5 and "Pass this on" in t for t in few.values())  # too few pages to tell
