@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastcol.llm import pii, toxicity
-from lastcol.llm.common import stored, table, without
-from lastcol.llm.mph_dedup import exact_dedup
+from lastcol.llm.common import BROADCAST_IDS, plain_id, stored, table, without
+from lastcol.llm.mph_dedup import exact_dedup, normal_text
 from lastcol.llm.ngram_join import ngram_components
 from lastcol.llm.packing import best_fit_packing
 
@@ -26,13 +26,37 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the smallest id stays."""
-    return without(docs, exact_dedup(docs).filter("not kept"))
+    """Of equal texts one row stays: that of the smallest id, and one of them
+    if the id is repeated or all lack one.  Rows go by id and digest, so other
+    texts of an id are left alone."""
+    found = stored(exact_dedup(docs).select(plain_id(), F.col("text_sha256").alias("digest"), "kept"), "exact")
+    keyed = docs.withColumns({"row_id": plain_id(), "digest": F.sha2(normal_text(F.col("text")), 256)})
+    first = without(keyed, found.filter("not kept").withColumnRenamed("doc_id", "row_id"), ["row_id", "digest"])
+    again = found.filter("kept").groupBy("digest").count().filter("count > 1").select("digest")
+    again = stored(again, "again")
+    n = again.count()
+    if not n:
+        return first.select(*docs.columns)
+    again = F.broadcast(again) if n <= BROADCAST_IDS else again
+    one = first.join(again, "digest", "left_semi").groupBy("digest").agg(F.min_by(
+        F.struct(*docs.columns), F.struct("text", F.xxhash64(*docs.columns))).alias("row")).select("row.*")
+    return first.join(again, "digest", "left_anti").select(*docs.columns).unionByName(one)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links join, the smallest id stays."""
-    return without(docs, ngram_components(docs).filter("component_id <> doc_id"))
+    """Of the rows that links join, one of the smallest id stays; rows without
+    an id come last.  Rows are told apart by a hash of id and text (64 bits),
+    which are different after the stage before."""
+    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    parts = ngram_components(keyed.select(F.col("row_key").alias("doc_id"), "text"))
+    rows = stored(parts.select(F.col("doc_id").alias("row_key"), "component_id")
+                  .join(keyed.select("row_key", "doc_id"), "row_key"), "near")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    first = stored(rows.groupBy("component_id").agg(F.count("*").alias("n"), F.min(order).alias("first"))
+                   .filter("n > 1").select("component_id", F.col("first.row_key").alias("first")), "first")
+    few = first.count() <= BROADCAST_IDS
+    dropped = rows.join(F.broadcast(first) if few else first, "component_id").filter("row_key <> first")
+    return without(keyed, dropped, "row_key").select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,10 +44,10 @@ def null_id(name: str = "doc_id") -> Column:
 BROADCAST_IDS = 500_000
 
 
-def without(docs: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is none of ``ids(doc_id)``.  A short list goes
-    to the rows, so that texts are not shuffled; a long one is joined.  Rows
-    without an id stay."""
+def without(docs: DataFrame, ids: DataFrame, name: str | list[str] = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose key (a column or several) is none of ``ids``.  A
+    short list goes to the rows, so that texts are not shuffled; a long one is
+    joined.  Rows without a key stay."""
     listed = stored(ids.select(name).distinct(), "dropped")
     few = listed.count() <= BROADCAST_IDS
     return docs.join(F.broadcast(listed) if few else listed, name, "left_anti")

@@ -58,3 +58,21 @@ def test_stages_equal_brute_force(spark, tmp_path):
     want = {r.doc_id: len(library.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in redacted.itertuples()}
     assert packed.groupby("doc_id").length.sum().to_dict() == want
     assert packed.groupby("sequence_id").length.sum().max() <= 1024
+
+
+def test_dedup_of_repeated_ids_and_rows_without_one(spark):
+    words = lambda c: " ".join(f"{c}{i}" for i in range(30))
+    equal, near = words("a"), words("b")
+    rows = [(2, equal), (1, equal), (1, equal), (1, equal.replace(" ", "  ", 2)), (2, words("c")), (1, words("d")),
+            (None, equal), (None, words("e")), (None, words("e")), (5, near + " x"), (3, near), (3, near + " y"),
+            (5, words("f")), (None, near + " z"), (None, words("g") + " x"), (None, words("g"))]
+    df = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string").repartition(4)
+    exact = corpus_pipeline.drop_exact_copies(spark, df, "")
+    assert exact.columns == df.columns
+    got = sorted((r.doc_id or 0, r.text) for r in exact.collect())
+    plain = [(r[0] or 0, " ".join(r[1].split())) for r in rows]
+    want = {(i, t) for i, t in plain if not (t == equal and i != 1)}
+    assert sorted((i, " ".join(t.split())) for i, t in got) == sorted(want)
+    one = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.drop_near_copies(spark, exact, "").collect())
+    ids = [(i, t[0]) for i, t in one]
+    assert sorted(ids) == [(0, "e"), (0, "g"), (1, "a"), (1, "d"), (2, "c"), (3, "b"), (5, "f")]
