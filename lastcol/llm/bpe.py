@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -60,18 +62,35 @@ def json_ranks(path: str) -> Ranks:
     return {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if all(c in byte_of for c in t)}
 
 
+def added_tokens(load: Callable[[str], Ranks], path: str) -> dict[str, int]:
+    """Added tokens of a ``.json`` file: a text is split at them before the
+    pattern, and each gives its id.  A rank file has none."""
+    if load is not json_ranks:
+        return {}
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f).get("added_tokens") or []
+    odd = [t["content"] for t in tokens if t.get("single_word") or t.get("lstrip") or t.get("rstrip")]
+    if odd:
+        raise ValueError(f"added tokens that take in white space or whole words only: {odd}")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 class Encoder(dict):
     """Ids of a pre-token as little-endian unsigned 32-bit bytes, remembered."""
 
-    def __init__(self, ranks: Ranks):
+    def __init__(self, ranks: Ranks, added: dict[str, int] | None = None):
         super().__init__()
+        self.added = {t: np.array([i], "<u4").tobytes() for t, i in (added or {}).items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.splits = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         specials = {k for k in ranks if k.startswith(b"<|")}
         ranks = {k: v for k, v in ranks.items() if k not in specials}
         self.core = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                       special_tokens={})
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.raw = [b""] * (max(ranks.values(), default=-1) + 1)
-        for token, i in ranks.items():
+        known = ranks | {t.encode(): i for t, i in (added or {}).items()}
+        self.raw = [b""] * (max(known.values(), default=-1) + 1)
+        for token, i in known.items():
             self.raw[i] = token
 
     def __missing__(self, piece: str) -> bytes:
@@ -82,6 +101,12 @@ class Encoder(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
+        if any(t in text for t in self.added):
+            return b"".join(self.added[part] if part in self.added else self._plain(part)
+                            for part in self.splits.split(text))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.pattern.findall(text)))
 
     def ids_between(self, text: str, begin: int, end: int) -> bytes:
@@ -100,7 +125,7 @@ class Encoder(dict):
 @functools.lru_cache(maxsize=4)
 def encoder(load: Callable[[str], Ranks], path: str) -> Encoder:
     """One per worker process and vocabulary."""
-    return Encoder(load(path))
+    return Encoder(load(path), added_tokens(load, path))
 
 
 def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -178,10 +203,12 @@ def encode(docs: DataFrame, path: str, load: Callable[[str], Ranks] = rank_file)
     each.  An empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select(plain_id(), F.coalesce("text", F.lit("")).alias("text"))
-    size = F.length("text")
-    whole = rows.filter(size <= CHUNK + OVERLAP).mapInPandas(_encode_whole(load, path), ENCODED)
+    short = F.length("text") <= CHUNK + OVERLAP
+    for token in added_tokens(load, path):  # a split that chunks do not see
+        short = short | F.col("text").contains(token)
+    whole = rows.filter(short).mapInPandas(_encode_whole(load, path), ENCODED)
 
-    long = rows.filter(size > CHUNK + OVERLAP).withColumn("row_no", F.monotonically_increasing_id())
+    long = rows.filter(~short).withColumn("row_no", F.monotonically_increasing_id())
     chunks = (long.mapInPandas(_cut, _CHUNKS)
               .repartition("row_no", "chunk_no")
               .mapInPandas(_pretokenise, _CHUNKS + ", head array<int>, tail array<int>"))

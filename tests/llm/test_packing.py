@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from lastcol.llm import packing
+from lastcol.llm import bpe, packing
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -76,3 +76,21 @@ def test_rounds_join_what_groups_leave(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert packing.best_fit_packing(df, JSON).count() == 0
+
+
+def test_added_tokens_as_the_library_encodes_them_by_default(spark):
+    library = Tokenizer.from_file(JSON)
+    end = "<|endoftext|>"
+    texts = [end, f"ab {end} x{end}", f"{end}{end}\n\n  y", "<|endoftext|", f"<|{end}|> {end}'s", "é " * 2000 + end + " z" * 2000,
+             "word " * 20_000 + end + "s"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {i: library.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    got = packing.best_fit_packing(df, JSON).toPandas()
+    for i, ids in want.items():
+        own = got[got.doc_id == i].sort_values("piece")
+        assert own.length.sum() == len(ids) + 1
+        for s, n, c in zip(own.start, own.length, own.ids_crc32, strict=True):
+            assert c == zlib.crc32(np.array((ids + [2])[s:s + n], "<u4").tobytes())
+    enc = bpe.encode(df, JSON, bpe.json_ranks)
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in enc.collect()} == want
+    assert {r.doc_id: bytes(r.bytes).decode() for r in bpe.decode(enc, JSON, bpe.json_ranks).collect()} == dict(enumerate(texts))
