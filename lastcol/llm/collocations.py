@@ -125,18 +125,24 @@ def _lang_hash(lang: str) -> int:
 def _prefix_hashes(h: np.ndarray, lang: str, words: int) -> np.ndarray:
     """Hash of the ``words`` words from each position on (past the end: zeros)."""
     out = np.full(len(h), _lang_hash(lang), _U)
-    for j in range(words):
+    for j in range(min(words, len(h))):
         out[:len(h) - j] += h[j:] * _STEPS[j]
     return mix64(out, words)
 
 
+def _and_ahead(flags: np.ndarray, other: np.ndarray, j: int) -> None:
+    """``flags`` where ``other`` holds ``j`` places ahead too, in place."""
+    left = max(0, len(flags) - j)
+    flags[:left] &= other[j:]
+    flags[left:] = False
+
+
 def _joined(fresh: np.ndarray, words: int) -> np.ndarray:
     """Whether the ``words`` words from each position on lie in one piece."""
     inner = np.append(~fresh[1:], False) if len(fresh) else np.zeros(0, bool)
     out = inner.copy()
     for j in range(1, words - 1):
-        out[:len(out) - j] &= inner[j:]
-        out[len(out) - j:] = False
+        _and_ahead(out, inner, j)
     return out
 
 
@@ -237,8 +243,7 @@ def _routed(some: np.ndarray, hot: dict[int, np.ndarray], common: np.ndarray, ro
             pair = _joined(fresh, 2) & some[_slots(h, lang, 2)] & usual & np.append(usual[1:], False)
             at, depth = pair.copy(), 1 + pair.astype(np.int64)
             for j in range(1, max_words - 1):
-                at[:len(at) - j] &= pair[j:]
-                at[len(at) - j:] = False
+                _and_ahead(at, pair, j)
                 depth += at
             led, spread = np.ones(len(h), np.int64), np.ones(len(h), bool)
             for w in (2, 3, 4):
