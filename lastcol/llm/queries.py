@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, collocations, html_extract, langid, packing, pii, quality, toxicity
+from . import bpe, collocations, conversation_repair, html_extract, langid, packing, pii, quality, toxicity
 from .common import stored, table
 from .metric_join import near_duplicates
 from .mph_dedup import exact_dedup
@@ -52,6 +52,10 @@ def op10_embedding_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op12_conversation_repair(spark, sf_dir):
+    return conversation_repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
 def op13_collocations(spark, sf_dir):
     return collocations.mine_phrases(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ def queries():
         "op8_quality": op8_quality,
         "op9_html_extraction": op9_html_extraction,
         "op10_embedding_near_dedup": op10_embedding_near_dedup,
+        "op12_conversation_repair": op12_conversation_repair,
         "op13_collocations": op13_collocations,
     }
 
@@ -116,5 +121,6 @@ def oracle_sql():
         "op1_ngram_jaccard": OP1_SQL,
         "op10_embedding_near_dedup": OP10_SQL,
         "op3_exact_dedup": OP3_SQL,
+        "op12_conversation_repair": conversation_repair.ORACLE,
         "op13_collocations": collocations.ORACLE,
     }
