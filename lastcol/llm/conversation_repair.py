@@ -191,43 +191,43 @@ _TABLE = "nil boolean, cid long, slice long, part long, rows long, blank long, d
          "head string, last string, before string, behind string, cost long, audit string"
 
 
-def _segments(frames):
-    """Tables of the segments of a slice, whose rows come in order."""
-    parser = Parser()
-    every, first_of_slice = parser.under_way(), True
-    legal = {"su", "ua", "au"}
-    key, part, rows, first = None, 0, [], True
-
-    def table():
-        pairs = [a[0] + b[0] for a, b in zip(rows, rows[1:], strict=False)]
-        faults = [r[1] for r in rows]
-        out = []
-        for before in (every if first or part else every[:1]):
-            front = {parser.stack(before): (0, "")}
-            for symbol, fault, _ in rows:
-                front = parser.read(front, symbol, fault == "t", fault in ("b", "d"))
-            out += [(*key[1:], key[0], part, len(rows), faults.count("b"), faults.count("d"), faults.count("t"),
-                     sum(p not in legal for p in pairs), rows[0][0], rows[-1][0], before, node.name(), *w)
-                    for node, w in front.items()]
-        return out
+def _segments(limit: int):
+    """Tables of the segments, of at most ``limit`` rows, of a slice, whose rows come in order."""
+    def run(frames):
+        parser = Parser()
+        every, legal = parser.under_way(), {"su", "ua", "au"}
+        key, part, rows, first = None, 0, [], True
+
+        def table():
+            pairs = [a[0] + b[0] for a, b in zip(rows, rows[1:], strict=False)]
+            faults = [r[1] for r in rows]
+            out = []
+            # only a slice's first conversation may have begun in the slice before
+            for before in (every if first or part else every[:1]):
+                front = {parser.stack(before): (0, "")}
+                for initial, fault in rows:
+                    front = parser.read(front, initial, fault == "t", fault in ("b", "d"))
+                out += [(*key[1:], key[0], part, len(rows), faults.count("b"), faults.count("d"), faults.count("t"),
+                         sum(p not in legal for p in pairs), rows[0][0], rows[-1][0], before, node.name(), *w)
+                        for node, w in front.items()]
+            return out
 
-    held = []
-    for pdf in frames:
-        for row in pdf[["_pid", "nil", "cid", "initial", "fault"]].itertuples(index=False, name=None):
-            now = row[:3]
-            if now != key or len(rows) >= SEGMENT:
-                if rows:
-                    held += table()
-                # a slice's first conversation may have begun in the slice before
-                part, first = (part + 1, first) if now == key else (0, key is None or key[0] != now[0])
-                key, rows = now, []
-            rows.append((row[3], row[4], None))
-        if len(held) > 5000:
-            yield pd.DataFrame(held, columns=_columns(_TABLE))
-            held = []
-    if rows:
-        held += table()
-    yield pd.DataFrame(held, columns=_columns(_TABLE))
+        held = []
+        for pdf in frames:
+            for *now, initial, fault in pdf[["_pid", "nil", "cid", "initial", "fault"]].itertuples(index=False, name=None):
+                if now != key or len(rows) >= limit:
+                    if rows:
+                        held += table()
+                    part, first = (part + 1, first) if now == key else (0, key is None or key[0] != now[0])
+                    key, rows = now, []
+                rows.append((initial, fault))
+                if len(held) > 5000:
+                    yield pd.DataFrame(held, columns=_columns(_TABLE))
+                    held = []
+        if rows:
+            held += table()
+        yield pd.DataFrame(held, columns=_columns(_TABLE))
+    return run
 
 
 def _columns(schema: str) -> list[str]:
@@ -328,7 +328,7 @@ def parse(rows: DataFrame):
     marked = stored(with_faults(rows), "faults")
     codes = marked.select("_pid", "_at", *_KEY, "initial", "fault")
     n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    tables = stored(codes.repartition(n, "_pid").sortWithinPartitions("_pid", "_at").mapInPandas(_segments, _TABLE), "tables")
+    tables = stored(codes.repartition(n, "_pid").sortWithinPartitions("_pid", "_at").mapInPandas(_segments(SEGMENT), _TABLE), "tables")
     parser = Parser()
     ends = {name: parser.ending({parser.stack(name): (0, "")}) for name in parser.under_way()}
     ended = F.create_map(*[F.lit(x) for name, (c, a) in ends.items() for x in (name, f"{c}:{a}")])[F.col("behind")]
