@@ -45,9 +45,11 @@ LONG_BITS = 18
 #: Bits of the table of frequent words.
 WORD_BITS = 24
 #: Suffixes of a route, and occurrences of a prefix that may share one.
-ROUTE_ROWS = 1 << 20
+ROUTE_ROWS = 1 << 19
+#: Suffixes that a task holds before it sends them on.
+HELD_ROWS = 1 << 18
 #: Bytes of text handled at once.
-WINDOW = 2 << 20
+WINDOW = 1 << 20
 #: Partial rankings of a language.
 SALTS = 256
 
@@ -209,8 +211,14 @@ def _word_bits(key, pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [key[0]], "data": [np.packbits(bits).tobytes()]})
 
 
+def _bit(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def _routed(some: np.ndarray, hot: dict[int, np.ndarray], common: np.ndarray, routes: int, max_words: int):
-    """Suffixes of a batch, packed by language and route."""
+    """Suffixes of a batch, packed by language and route.  The first three are
+    packed bits: pairs that may be frequent, prefixes of too many suffixes for
+    one route, frequent words."""
     def packed(lang, cols, depth, led):
         whole = np.full(len(depth), _lang_hash(lang), _U)
         for j, c in enumerate(cols):
@@ -239,22 +247,22 @@ def _routed(some: np.ndarray, hot: dict[int, np.ndarray], common: np.ndarray, ro
             h, fresh, _, _ = words_of(data)
             if not len(h):
                 continue
-            usual = common[(h >> _U(64 - WORD_BITS)).astype(np.int64)]
-            pair = _joined(fresh, 2) & some[_slots(h, lang, 2)] & usual & np.append(usual[1:], False)
+            usual = _bit(common, (h >> _U(64 - WORD_BITS)).astype(np.int64))
+            pair = _joined(fresh, 2) & _bit(some, _slots(h, lang, 2)) & usual & np.append(usual[1:], False)
             at, depth = pair.copy(), 1 + pair.astype(np.int64)
             for j in range(1, max_words - 1):
                 _and_ahead(at, pair, j)
                 depth += at
             led, spread = np.ones(len(h), np.int64), np.ones(len(h), bool)
             for w in (2, 3, 4):
-                spread &= (depth >= w) & hot[w][_slots(h, lang, w)]
+                spread &= (depth >= w) & _bit(hot[w], _slots(h, lang, w))
                 led += spread
             keep = np.flatnonzero(pair)
             padded = np.append(h, np.zeros(max_words, _U))
             cols = [np.where(depth[keep] > j, padded[keep + j], _U(0)) for j in range(max_words)]
             held.setdefault(lang, []).append((*cols, depth[keep], led[keep]))
             size += len(keep)
-            if size > ROUTE_ROWS:
+            if size > HELD_ROWS:
                 yield from flush(held)
                 held, size = {}, 0
         yield from flush(held)
@@ -340,14 +348,14 @@ def _survey_tables(survey: DataFrame, least: int):
         blocks = blocks.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_add_tables, schema)
         blocks = blocks.withColumn("salt", F.lit(0))
     bits = blocks.mapInPandas(_table_bits(least, ROUTE_ROWS), "words int, part int, some binary, hot binary, rows long")
-    some = np.zeros(1 << PAIR_BITS, bool)
-    hot = {w: np.zeros(1 << (PAIR_BITS if w == 2 else LONG_BITS), bool) for w in (2, 3, 4)}
+    some = np.zeros((1 << PAIR_BITS) // 8, np.uint8)
+    hot = {w: np.zeros((1 << (PAIR_BITS if w == 2 else LONG_BITS)) // 8, np.uint8) for w in (2, 3, 4)}
     rows = 0
     for r in bits.collect():  # fixed size: PAIR_BITS and LONG_BITS
-        at = slice(r["part"] * _BLOCK, (r["part"] + 1) * _BLOCK)
-        hot[r["words"]][at] = np.unpackbits(np.frombuffer(r["hot"], np.uint8)).astype(bool)
+        at = slice(r["part"] * _BLOCK // 8, (r["part"] + 1) * _BLOCK // 8)
+        hot[r["words"]][at] = np.frombuffer(r["hot"], np.uint8)
         if r["words"] == 2:
-            some[at] = np.unpackbits(np.frombuffer(r["some"], np.uint8)).astype(bool)
+            some[at] = np.frombuffer(r["some"], np.uint8)
             rows += r["rows"]
     return some, hot, rows
 
@@ -361,15 +369,14 @@ def count_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     survey = stored(texts.mapInPandas(_survey, _SURVEY), "survey")
-    words = stored(survey.filter("words = 1").groupBy("lang", "h").agg(
-        F.min("word").alias("word"), F.sum("n").alias("n")), "words")
+    words = stored(survey.filter("words = 1").groupBy("lang", "h", "word").agg(F.sum("n").alias("n")), "words")
     some, hot, rows = _survey_tables(survey, min_count)
-    common = np.zeros(1 << WORD_BITS, bool)
+    common = np.zeros((1 << WORD_BITS) // 8, np.uint8)
     bit = F.shiftrightunsigned("h", 64 - WORD_BITS)
     frequent = words.filter(F.col("n") >= min_count).select(bit.alias("bit")).distinct()
     for r in frequent.groupBy((F.col("bit") / _BLOCK).cast("int").alias("part")).applyInPandas(
             _word_bits, "part int, data binary").collect():  # fixed size: WORD_BITS
-        common[r["part"] * _BLOCK:(r["part"] + 1) * _BLOCK] = np.unpackbits(np.frombuffer(r["data"], np.uint8)).astype(bool)
+        common[r["part"] * _BLOCK // 8:(r["part"] + 1) * _BLOCK // 8] = np.frombuffer(r["data"], np.uint8)
     routes = max(1, -(-rows // ROUTE_ROWS))
     sent = texts.mapInPandas(_routed(some, hot, common, routes, max_words), "route long, lang string, data binary")
     found = sent.groupBy("route").applyInPandas(_sorted_route(min_count, max_words), "lang string, ws array<long>, a long")

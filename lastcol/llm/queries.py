@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, collocations, conversation_repair, html_extract, langid, packing, pii, quality, toxicity
+from . import bpe, collocations, conversation_repair, html_extract, langid, packing, pii, quality, toxicity, url_filter
 from .common import stored, table
 from .metric_join import near_duplicates
 from .mph_dedup import exact_dedup
@@ -52,6 +52,10 @@ def op10_embedding_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op12_conversation_repair(spark, sf_dir):
     return conversation_repair.repair_report(table(spark, sf_dir, "conversations"))
 
@@ -72,6 +76,7 @@ def queries():
         "op8_quality": op8_quality,
         "op9_html_extraction": op9_html_extraction,
         "op10_embedding_near_dedup": op10_embedding_near_dedup,
+        "op11_url_filter": op11_url_filter,
         "op12_conversation_repair": op12_conversation_repair,
         "op13_collocations": op13_collocations,
     }
@@ -121,6 +126,7 @@ def oracle_sql():
         "op1_ngram_jaccard": OP1_SQL,
         "op10_embedding_near_dedup": OP10_SQL,
         "op3_exact_dedup": OP3_SQL,
+        "op11_url_filter": url_filter.ORACLE,
         "op12_conversation_repair": conversation_repair.ORACLE,
         "op13_collocations": collocations.ORACLE,
     }
