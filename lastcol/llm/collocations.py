@@ -29,6 +29,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,13 +106,19 @@ def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return (np.concatenate(hashes), np.diff(piece, prepend=-1) != 0, np.concatenate(starts), np.concatenate(ends))
 
 
-def _bytes_by_lang(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[str, bytes]]:
-    """Texts of one language, joined by line ends, up to WINDOW bytes or one text."""
-    for pdf in frames:
-        for lang, own in pdf.groupby("lang", sort=False):
+def _bytes_by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """Texts of one language, joined by line ends, up to WINDOW bytes or one
+    text, from the bytes of Arrow batches ``(lang, text)``."""
+    for batch in batches:
+        langs = batch.column(0).dictionary_encode()
+        codes, names = langs.indices.to_numpy(), langs.dictionary.to_pylist()
+        texts = batch.column(1).cast(pa.large_binary())
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1].tolist()
+        data = memoryview(texts.buffers()[2] or b"")
+        for code, lang in enumerate(names):
             held, size = [], 0
-            for text in own["text"]:
-                raw = text.encode("utf-8", "surrogatepass")
+            for i in np.flatnonzero(codes == code).tolist():
+                raw = data[ends[i]:ends[i + 1]]
                 if held and size + len(raw) > WINDOW:
                     yield lang, b"\n".join(held)
                     held, size = [], 0
@@ -120,6 +127,13 @@ def _bytes_by_lang(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[str, bytes]
             yield lang, b"\n".join(held)
 
 
+def _batch(schema: str, columns: list) -> pa.RecordBatch:
+    types = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [c.split() for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(v, types[kind]) for v, (_, kind) in zip(columns, fields, strict=True)],
+                                      names=[name for name, _ in fields])
+
+
 def _lang_hash(lang: str) -> int:
     return int.from_bytes(blake2b(lang.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
@@ -156,10 +170,10 @@ def _slots(h: np.ndarray, lang: str, words: int) -> np.ndarray:
 _SURVEY = "lang string, word string, h long, n long, words int, part int, data binary"
 
 
-def _survey(frames):
+def _survey(batches):
     """Distinct words of each stretch of text, and at the end the task's counters."""
     tables = {w: np.zeros(1 << (PAIR_BITS if w == 2 else LONG_BITS), np.uint32) for w in (2, 3, 4)}
-    for lang, data in _bytes_by_lang(frames):
+    for lang, data in _bytes_by_lang(batches):
         h, fresh, start, end = words_of(data)
         if not len(h):
             continue
@@ -167,41 +181,46 @@ def _survey(frames):
             got, count = np.unique(_slots(h, lang, w)[_joined(fresh, w)], return_counts=True)
             table[got] = np.minimum(table[got].astype(np.int64) + count, 0xFFFFFFFF)
         got, first, count = np.unique(h, return_index=True, return_counts=True)
-        yield pd.DataFrame({"lang": lang, "word": [data[a:b].lower().decode("utf-8", "replace") for a, b in zip(
-            start[first].tolist(), end[first].tolist(), strict=True)], "h": got.view(np.int64), "n": count,
-            "words": 1, "part": 0, "data": None})
+        n, low = len(got), data.lower()  # of bytes: A-Z only
+        words = [low[a:b].decode("utf-8", "replace") for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+        yield _batch(_SURVEY, [[lang] * n, words, got.view(np.int64), count, np.ones(n, np.int32), np.zeros(n, np.int32), [None] * n])
     for w, table in tables.items():
         some = [p for p in range(0, len(table), _BLOCK) if table[p:p + _BLOCK].any()]
-        yield pd.DataFrame({"lang": None, "word": None, "h": 0, "n": 0, "words": w, "part": [p // _BLOCK for p in some],
-                            "data": [zlib.compress(table[p:p + _BLOCK].tobytes(), 1) for p in some]})
+        n = len(some)
+        yield _batch(_SURVEY, [[None] * n, [None] * n, [0] * n, [0] * n, [w] * n, [p // _BLOCK for p in some],
+                               [zlib.compress(table[p:p + _BLOCK].tobytes(), 1) for p in some]])
 
 
-def _add_tables(frames):
+_BITS = "words int, part int, salt int, some binary, hot binary, rows long"
+
+
+def _summed(frames) -> Iterator[tuple[tuple, np.ndarray]]:
     """Sum of the blocks of each ``(words, part, salt)``, which come in order: one
     block is held, however many tasks made one."""
     at, total = None, None
-    row = lambda: pd.DataFrame({"words": [at[0]], "part": [at[1]], "salt": [at[2]],
-                                "data": [zlib.compress(np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)]})
     for pdf in frames:
-        for w, p, s, data in zip(pdf["words"], pdf["part"], pdf["salt"], pdf["data"], strict=True):
-            if (w, p, s) != at:
+        for *key, data in zip(pdf["words"], pdf["part"], pdf["salt"], pdf["data"], strict=True):
+            if key != at:
                 if at is not None:
-                    yield row()
-                at, total = (w, p, s), np.zeros(_BLOCK, np.int64)
+                    yield at, total
+                at, total = key, np.zeros(_BLOCK, np.int64)
             total += np.frombuffer(zlib.decompress(data), np.uint32)
     if at is not None:
-        yield row()
+        yield at, total
+
+
+def _add_tables(frames):
+    for (w, p, s), total in _summed(frames):
+        yield pd.DataFrame({"words": [w], "part": [p], "salt": [s],
+                            "data": [zlib.compress(np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)]})
 
 
 def _table_bits(least: int, hot: int):
     """Per block: bits of the counters from ``least`` and over ``hot`` on, and the sum of the former."""
     def run(frames):
-        for pdf in frames:
-            tables = [np.frombuffer(zlib.decompress(d), np.uint32).astype(np.int64) for d in pdf["data"]]
-            yield pd.DataFrame({"words": pdf["words"], "part": pdf["part"],
-                                "some": [np.packbits(t >= least).tobytes() for t in tables],
-                                "hot": [np.packbits(t > hot).tobytes() for t in tables],
-                                "rows": [int(t[t >= least].sum()) for t in tables]})
+        for (w, p, s), t in _summed(frames):
+            yield pd.DataFrame({"words": [w], "part": [p], "salt": [s], "some": [np.packbits(t >= least).tobytes()],
+                                "hot": [np.packbits(t > hot).tobytes()], "rows": [int(t[t >= least].sum())]})
     return run
 
 
@@ -215,6 +234,9 @@ def _bit(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
+_SENT = "route long, lang string, data binary"
+
+
 def _routed(some: np.ndarray, hot: dict[int, np.ndarray], common: np.ndarray, routes: int, max_words: int):
     """Suffixes of a batch, packed by language and route.  The first three are
     packed bits: pairs that may be frequent, prefixes of too many suffixes for
@@ -231,19 +253,20 @@ def _routed(some: np.ndarray, hot: dict[int, np.ndarray], common: np.ndarray, ro
         route = (mix64(lead, 3) % _U(routes)).astype(np.int64)
         order = np.lexsort((depth, route))
         cuts = np.flatnonzero(np.diff(route[order], prepend=-1))
-        rows = []
+        numbers, blobs = [], []
         for a, b in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
             own = order[a:b]
             raw = [np.bincount(depth[own], minlength=MAX_WORDS + 1).astype(np.int32).tobytes(),
                    weight[own].astype(np.int64).tobytes(), led[own].astype(np.uint8).tobytes()]
             raw += [c[own[depth[own] > j]].tobytes() for j, c in enumerate(cols)]
-            rows.append((int(route[own[0]]), lang, b"".join(raw)))
-        return pd.DataFrame(rows, columns=["route", "lang", "data"])
+            numbers.append(int(route[own[0]]))
+            blobs.append(b"".join(raw))
+        return _batch(_SENT, [numbers, [lang] * len(blobs), blobs])
 
-    def run(frames):
+    def run(batches):
         held: dict[str, list] = {}
         size = 0
-        for lang, data in _bytes_by_lang(frames):
+        for lang, data in _bytes_by_lang(batches):
             h, fresh, _, _ = words_of(data)
             if not len(h):
                 continue
@@ -342,12 +365,11 @@ def _sorted_route(least: int, max_words: int):
 def _survey_tables(survey: DataFrame, least: int):
     """The bits of the counter tables, and how many suffixes may be left."""
     blocks = survey.filter("words > 1").select("words", "part", F.pmod(F.xxhash64("data"), F.lit(64)).cast("int").alias("salt"), "data")
-    schema = "words int, part int, salt int, data binary"
     keys = ["words", "part", "salt"]
-    for _ in range(2):  # in two levels, so that no task reads the blocks of all tasks
-        blocks = blocks.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_add_tables, schema)
-        blocks = blocks.withColumn("salt", F.lit(0))
-    bits = blocks.mapInPandas(_table_bits(least, ROUTE_ROWS), "words int, part int, some binary, hot binary, rows long")
+    # in two levels, so that no task reads the blocks of all tasks
+    blocks = blocks.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_add_tables, "words int, part int, salt int, data binary")
+    bits = (blocks.withColumn("salt", F.lit(0)).repartition(*keys).sortWithinPartitions(*keys)
+            .mapInPandas(_table_bits(least, ROUTE_ROWS), _BITS))
     some = np.zeros((1 << PAIR_BITS) // 8, np.uint8)
     hot = {w: np.zeros((1 << (PAIR_BITS if w == 2 else LONG_BITS)) // 8, np.uint8) for w in (2, 3, 4)}
     rows = 0
@@ -368,7 +390,7 @@ def count_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
         raise ValueError(f"max_words from 2 to {MAX_WORDS}")
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    survey = stored(texts.mapInPandas(_survey, _SURVEY), "survey")
+    survey = stored(texts.mapInArrow(_survey, _SURVEY), "survey")
     words = stored(survey.filter("words = 1").groupBy("lang", "h", "word").agg(F.sum("n").alias("n")), "words")
     some, hot, rows = _survey_tables(survey, min_count)
     common = np.zeros((1 << WORD_BITS) // 8, np.uint8)
@@ -378,7 +400,7 @@ def count_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
             _word_bits, "part int, data binary").collect():  # fixed size: WORD_BITS
         common[r["part"] * _BLOCK // 8:(r["part"] + 1) * _BLOCK // 8] = np.frombuffer(r["data"], np.uint8)
     routes = max(1, -(-rows // ROUTE_ROWS))
-    sent = texts.mapInPandas(_routed(some, hot, common, routes, max_words), "route long, lang string, data binary")
+    sent = texts.mapInArrow(_routed(some, hot, common, routes, max_words), _SENT)
     found = sent.groupBy("route").applyInPandas(_sorted_route(min_count, max_words), "lang string, ws array<long>, a long")
     phrases = found.groupBy("lang", "ws").agg(F.sum("a").alias("a")).filter(F.col("a") >= min_count)
     return stored(phrases, "phrases"), words
