@@ -105,3 +105,13 @@ def match_positions(char_array, pattern: str) -> Column:
 
     found = F.filter(F.sequence(F.lit(1), F.size(c) - m + 1), hit)
     return F.when(F.size(c) >= m, found).otherwise(F.array().cast("array<int>"))
+
+
+def escaped_path(path: str) -> str:
+    """``path`` with the characters that readers take for patterns escaped."""
+    return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
+
+
+def file_name(path: Column) -> Column:
+    """One spelling of a local file's url; others are left as they are."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
