@@ -19,15 +19,18 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, stored
+from .common import BROADCAST_IDS, NO_ID, connected_components, null_id, plain_id, stored
 
 MIN_COSINE = 0.98
-#: Points per cell aimed at, and the most pivots of a label.
+#: Points per cell aimed at, and the most pivots of a label.  Beyond CELL *
+#: MAX_PIVOTS points cells grow, and are joined in more blocks.
 CELL = 1000
 MAX_PIVOTS = 256
+#: Points of a label that are placed in cells at once.
+PLACED_AT_ONCE = 4096
 #: Points of a block.
 BLOCK = 2048
 #: Slack of the boundary test, far above rounding.
@@ -35,44 +38,40 @@ SLACK = 1e-6
 
 
 def _units(frames):
+    """Every row, with its unit vector in double precision, or null where it
+    links with nothing."""
     for pdf in frames:
-        ids, labels, out = [], [], []
+        out = []
         for i, label, v in zip(pdf["vec_id"], pdf["label"], pdf["embedding"], strict=True):
-            x = np.asarray(v, dtype=np.float64)  # a null component becomes nan
-            big = np.abs(x).max(initial=0.0)
-            if big > 0 and np.isfinite(x).all():
-                x = x / big  # keeps squares of tiny or huge components finite
-                ids.append(i)
-                labels.append(label)
-                out.append(x / np.sqrt(x @ x))
-        yield pd.DataFrame({"vec_id": ids, "label": labels, "v": out})
-
-
-def _usable(vectors: DataFrame) -> DataFrame:
-    """Unit vectors in double precision.  Rows with a null id or label, and
-    null, empty, zero, incomplete or non-finite vectors, are left out."""
-    return (vectors.filter(F.col("embedding").isNotNull() & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
-            .select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding")
-            .mapInPandas(_units, "vec_id long, label long, v array<double>"))
-
-
-def _cells(pivots: dict[tuple[int, int], np.ndarray], r: float):
-    """Home rows and copies of the points: (label, dim, cell) and side."""
-    def run(frames):
-        for pdf in frames:
-            for (label, dim), own in pdf.groupby([pdf["label"], pdf["v"].map(len)], sort=False):
-                p = pivots[int(label), int(dim)]
-                gap = np.sqrt(np.maximum(0, 2 - 2 * (p @ p.T))) * r + SLACK
-                for at in range(0, len(own), 4096):
-                    part = own.iloc[at:at + 4096]
-                    x = np.stack(part["v"].to_numpy())
-                    s = x @ p.T
-                    home = s.argmax(1)
-                    near = s[np.arange(len(x)), home][:, None] - s <= gap[home]
-                    i, c = np.nonzero(near)
-                    yield pd.DataFrame({"label": label, "dim": dim, "cell": c, "home": home[i] == c,
-                                        "point": part["point"].to_numpy()[i], "weight": part["weight"].to_numpy()[i],
-                                        "v": part["v"].to_numpy()[i]})
+            unit = None
+            if i != NO_ID and label is not None and v is not None:
+                x = np.asarray(v, dtype=np.float64)  # a null component becomes nan
+                big = np.abs(x).max(initial=0.0)
+                if big > 0 and np.isfinite(x).all():
+                    x = x / big  # keeps squares of tiny or huge components finite
+                    unit = x / np.sqrt(x @ x)
+            out.append(unit)
+        yield pd.DataFrame({"vec_id": pdf["vec_id"], "label": pdf["label"], "v": pd.Series(out, dtype=object)})
+
+
+def _label(vectors: DataFrame) -> Column:
+    """Labels of any type by their text; the two zeros are one."""
+    col = F.col("label")
+    return (col + F.lit(0.0) if vectors.schema["label"].dataType.typeName() in ("float", "double") else col).cast("string")
+
+
+def _place(r: float):
+    """Home rows and copies of some points of a label, from the label's pivots."""
+    def run(own: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        if not len(own) or not len(pivots):
+            return pd.DataFrame(columns=[c.split()[0] for c in _PLACED.split(", ")])
+        p = np.stack([np.asarray(v, float) for v in pivots["pivots"].iloc[0]])
+        gap = np.sqrt(np.maximum(0, 2 - 2 * (p @ p.T))) * r + SLACK
+        s = np.stack(own["v"].to_numpy()) @ p.T
+        home = s.argmax(1)
+        i, c = np.nonzero(s[np.arange(len(s)), home][:, None] - s <= gap[home])
+        part = own[["label", "dim", "point", "weight", "v"]].iloc[i].reset_index(drop=True)
+        return part.assign(cell=c, home=home[i] == c)[[x.split()[0] for x in _PLACED.split(", ")]]
     return run
 
 
@@ -114,46 +113,49 @@ def _join(min_cosine: float):
     return run
 
 
+def _pivots(points: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``label, dim, pivots``: at most MAX_PIVOTS points of each label and length, by
+    their hashes, in proportion to its points."""
+    part = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / 2.0**32
+    likely = points.join(sizes, ["label", "dim"]).filter(part <= 2.0 * F.col("k") / F.col("count")).withColumn(
+        "at", F.row_number().over(Window.partitionBy("label", "dim").orderBy("h"))).filter("at <= k").select("label", "dim", "h", "v")
+    least = points.groupBy("label", "dim").agg(F.min("h").alias("h"), F.min_by("v", "h").alias("v"))  # where no hash is that small
+    return likely.unionByName(least).groupBy("label", "dim", "h").agg(F.first("v").alias("v")).groupBy("label", "dim").agg(
+        F.collect_list("v").alias("pivots"))
+
+
+_PLACED = "label string, dim int, cell int, home boolean, point long, weight long, v array<double>"
+
+
 def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
-    """One row per vector: ``vec_id, n_links, component_id, kept``.
-
-    Vectors of one label link when their cosine, in double precision, is at
-    least ``min_cosine``; a null label, a null, empty or zero vector and one
-    with null or non-finite components link with nothing, nor do vectors of
-    different lengths.  A row without an id links with nothing.  Repeated rows
-    count as vectors of their own.  Labels are classes: their pivots (at most
-    MAX_PIVOTS each) are held by the driver.  An id on several rows takes part with each
-    of them.  An empty table gives an empty result; other columns are ignored.
+    """One row per row of ``vectors``: ``vec_id, n_links, component_id, kept``.
+
+    Vectors of one label (of any type) link when their cosine, in double precision,
+    is at least ``min_cosine``; a null id or label, a null, empty or zero vector
+    and one with null or non-finite components link with nothing, nor do vectors of
+    different lengths.  Repeated rows and rows that share an id count as vectors of their own.
+    An empty table gives an empty result; other columns are ignored.
     """
     r = float(np.sqrt(2 - 2 * min_cosine))
-    units = stored(_usable(vectors), "units")
-    # equal vectors of a label are one point, known by its smallest id
-    key = units.select("vec_id", "label", "v", F.sha2(F.concat_ws(",", F.transform("v", lambda x: x.cast("string"))),
-                                                      256).alias("h"))
-    points = stored(key.groupBy("label", "h").agg(
-        F.min("vec_id").alias("point"), F.count("*").alias("weight"), F.first("v").alias("v"))
-        .withColumn("dim", F.size("v")), "points")
-
-    # pivots: a bounded number per label and length, by the points' hashes
-    sizes = points.groupBy("label", "dim").count().withColumn(
-        "k", F.least(F.lit(MAX_PIVOTS), F.ceil(F.col("count") / CELL)).cast("int"))
-    chosen = (points.join(F.broadcast(sizes), ["label", "dim"])
-              .filter(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / 2.0**32
-                      <= 2.0 * F.col("k") / F.col("count") + F.when(F.col("count") < 64, 1.0).otherwise(0.0))
-              .select("label", "dim", "h", "v", "k").orderBy("h").collect())
-    pivots: dict[tuple[int, int], list] = {}
-    for row in chosen:
-        own = pivots.setdefault((row["label"], row["dim"]), [])
-        if len(own) < row["k"]:
-            own.append(row["v"])
-    for row in sizes.collect():  # the hash may pass none over: any point will do
-        if (row["label"], row["dim"]) not in pivots:
-            pivots[row["label"], row["dim"]] = [points.filter(
-                (F.col("label") == row["label"]) & (F.col("dim") == row["dim"])).first()["v"]]
-    fixed = {k: np.array(v, dtype=float) for k, v in pivots.items()}
-
-    schema = "label long, dim int, cell int, home boolean, point long, weight long, v array<double>"
-    placed = stored(points.select("label", "point", "weight", "v").mapInPandas(_cells(fixed, r), schema), "cells")
+    units = stored(vectors.select(plain_id("vec_id"), _label(vectors).alias("label"), "embedding").mapInPandas(
+        _units, "vec_id long, label string, v array<double>"), "units")
+    # equal vectors of a label are one point, with the smallest of their ids
+    key = units.withColumn("h", F.sha2(F.concat_ws(",", F.transform("v", lambda x: x.cast("string"))), 256))
+    points = stored(key.filter("v is not null").groupBy("label", "h").agg(
+        F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.first("v").alias("v"))
+        .withColumn("dim", F.size("v")).withColumn("point", F.xxhash64("label", "h")), "points")
+
+    sizes = stored(points.groupBy("label", "dim").count().withColumns({
+        "k": F.least(F.lit(MAX_PIVOTS), F.ceil(F.col("count") / CELL)).cast("int"),
+        "salts": F.ceil(F.col("count") / PLACED_AT_ONCE).cast("int")}), "sizes")
+    few = sizes.count() <= BROADCAST_IDS
+    sized = F.broadcast(sizes) if few else sizes
+    pivots = stored(_pivots(points, sized).join(sizes.select("label", "dim", "salts"), ["label", "dim"]).select(
+        "label", "dim", "pivots", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")), "pivots")
+    salted = points.join(sized, ["label", "dim"]).withColumn("salt", F.pmod(F.col("point"), F.col("salts")).cast("int"))
+    on = ["label", "dim", "salt"]
+    placed = stored(salted.select(*on, "point", "weight", "v").groupBy(*on).cogroup(
+        pivots.select(*on, "pivots").groupBy(*on)).applyInPandas(_place(r), _PLACED), "cells")
     blocks = (placed.groupBy("label", "dim", "cell").agg(
         F.ceil(F.sum(F.col("home").cast("long")) / BLOCK).cast("int").alias("nh"),
         F.ceil(F.count("*") / BLOCK).cast("int").alias("nc")))
@@ -170,14 +172,12 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataF
 
     comp = connected_components(found.select(F.col("point").alias("a"), F.col("other").alias("b")))
     total = found.groupBy("point").agg(F.sum("links").alias("n"))
-    by_point = (points.select("label", "h", "point").join(total, "point", "left")
-                .join(comp, F.col("point") == F.col("node"), "left")
-                .select("label", "h", F.coalesce("n", F.lit(1)).alias("n"),
-                        F.coalesce("component", "point").alias("component")))
-    linked = key.drop("v").join(by_point, ["label", "h"]).select(
-        "vec_id", (F.col("n") - 1).alias("n_links"), F.col("component").alias("component_id"))
-    rest = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(
-        units.select("vec_id"), "vec_id", "left_anti").select(
-        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(rest).withColumn(
-        "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    by_point = stored(points.select("label", "h", "point", "id").join(total, "point", "left")
+                      .join(comp, F.col("point") == F.col("node"), "left")
+                      .select("label", "h", "id", F.coalesce("n", F.lit(1)).alias("n"), F.coalesce("component", "point").alias("root")), "points")
+    first = by_point.groupBy("root").agg(F.min("id").alias("component_id"))
+    linked = key.filter("v is not null").drop("v").join(by_point.join(first, "root"), ["label", "h"]).select(
+        "vec_id", (F.col("n") - 1).alias("n_links"), "component_id")
+    rest = key.filter("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return linked.unionByName(rest).select(null_id("vec_id"), "n_links", null_id("component_id"), (
+        F.col("vec_id") == F.col("component_id")).alias("kept"))

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lastcol.llm import metric_join as mj
 
@@ -54,3 +55,23 @@ def test_equals_brute_force(spark, monkeypatch, cell, block):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert mj.near_duplicates(df).count() == 0
+
+
+def test_one_row_per_row_where_ids_repeat(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(2, 6)).tolist()
+    rows = [(1, a, "x"), (1, None, "x"), (1, b, "x"), (2, a, "x"), (2, a, "y"), (3, b, None), (3, b, "x"), (None, a, "x"), (4, a, ""), (4, a, "")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").withColumn("h", F.lit("clash")).withColumn("point", F.lit(1))
+    got = sorted(tuple((x is None, x or 0) for x in r) for r in mj.near_duplicates(df).collect())
+    want = [(1, 1, 1, True), (1, 0, 1, True), (1, 1, 1, True), (2, 1, 1, False), (2, 0, 2, True), (3, 0, 3, True), (3, 1, 1, False),
+            (None, 0, None, True), (4, 1, 4, True), (4, 1, 4, True)]
+    assert got == sorted(tuple((x is None, x or 0) for x in r) for r in want)
+
+
+def test_many_labels_and_float_labels(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=3).tolist(), float(i // 2) if i > 1 else (0.0, -0.0)[i]) for i in range(400)]
+    rows += [(1000 + i, v, c) for i, v, c in rows[:100]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label double")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in mj.near_duplicates(df).collect()}
+    assert got == brute(rows, 0.98)
