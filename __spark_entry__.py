@@ -2,8 +2,10 @@
 
 Every query reads the driver's tables (or data Spark derives from them) in
 full.  ``documents`` is the corpus: ``record_id = doc_id``, ``content = text``.
-The transform's oracle sorts every rotation of every block in SQL, so its
-queries cut texts into blocks of 256 characters; round trips use 4,096.
+The transform of blocks is made of all blocks of 4,096 characters; SQL cannot
+sort the rotations of all of them, so the rows of block ids divisible by 20 are
+returned and compared.  Likewise of the rotations of the whole corpus, which SQL
+ranks by doubling, positions divisible by 20 are compared.
 """
 
 from __future__ import annotations
@@ -21,15 +23,19 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lastcol.operators import corpus_rotation as cr
+from lastcol.operators import file_index as fi
 from lastcol.operators import index as ix
 from lastcol.operators import records as rec
 from lastcol.operators import rotation as rot
 from lastcol.operators import runs as rl
 from lastcol.operators import search as se
+from lastcol.operators import suffix_table as st
 from lastcol.plans import segments as sg
 from lastcol.plans.tables import documents, table
 from lastcol.session import checkpoint_dir
 from lastcol.sources import format_records, read_tagged, records_from, write_tagged_records
+from lastcol.functions import encoded_run_bytes
 from lastcol.sources.runs_store import compress, decompress, read_runs, write_runs
 
 try:  # the training-data operators are an optional subpackage
@@ -49,7 +55,8 @@ INDEXED_PATTERN = "nderou"
 HITS_PATTERN = "the"
 CHECKPOINT_CHUNK = 4
 LOOKUP_IDS = [0, 7, 42, 199, 500, 999, 1_000_000_000]
-BWT_BLOCK = 256  # short enough for SQL to sort every rotation
+SOURCE_PATTERN = "rc1"
+CHECKED = 20  # of results that SQL cannot give in full, every 20th is compared
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -99,12 +106,6 @@ def q_tagged_round_trip(spark, sf):
     return read_tagged(spark, path, strip_newline=True).records.select("record_id", "content")
 
 
-def q_tagged_rejects(spark, sf):
-    path = _scratch(spark, "tagged")
-    write_tagged_records(documents(spark, sf), path)
-    return read_tagged(spark, path, strip_newline=True).rejects.select("reason")
-
-
 def q_boundary_search(spark, sf):
     return se.search(documents(spark, sf), BOUNDARY_PATTERN)
 
@@ -272,12 +273,8 @@ def q_inverse_bwt_part(spark, sf):
     return rot.inverse_bwt(rot.bwt(_part_blocks(spark, sf)))
 
 
-def _short_blocks(spark, sf):
-    return rot.make_blocks(documents(spark, sf), block_size=BWT_BLOCK).select("block_id", "text")
-
-
 def q_bwt_documents(spark, sf):
-    return rot.bwt(_short_blocks(spark, sf))
+    return rot.bwt(_doc_blocks(spark, sf)).filter(F.col("block_id") % CHECKED == 0)
 
 
 def q_inverse_bwt_documents(spark, sf):
@@ -286,8 +283,88 @@ def q_inverse_bwt_documents(spark, sf):
 
 def q_compressed_size_bwt(spark, sf):
     """The compress path: blocks -> BWT -> runs -> encoded size."""
-    b = rot.bwt(_short_blocks(spark, sf)).select("block_id", F.col("bwt_text").alias("text"))
-    return rl.compressed_size(rl.text_runs(b))
+    b = rot.bwt(_doc_blocks(spark, sf)).select("block_id", F.col("bwt_text").alias("text"))
+    return rl.compressed_size(rl.text_runs(b)).filter(F.col("block_id") % CHECKED == 0)
+
+
+def q_corpus_rotation_rank(spark, sf):
+    """All documents as one cyclic text."""
+    ranks = cr.corpus_rotation_rank(documents(spark, sf))
+    return ranks.filter(F.col("pos") % CHECKED == 0).select("pos", "symbol", "rank")
+
+
+def q_corpus_runs(spark, sf):
+    """The corpus compressed as one text: runs of its transform, summed up by symbol."""
+    path = _scratch(spark, "corpus")
+    cr.write_corpus(documents(spark, sf), path)
+    runs = spark.read.parquet(f"{path}/runs")
+    return runs.groupBy("symbol").agg(F.count("*").alias("n_runs"), F.sum("run_len").alias("n_chars"),
+                                      F.sum(encoded_run_bytes("run_len")).cast("long").alias("encoded_bytes"))
+
+
+def q_corpus_round_trip(spark, sf):
+    """The corpus restored from the runs of its transform."""
+    path = _scratch(spark, "corpus")
+    cr.write_corpus(documents(spark, sf), path)
+    return cr.read_corpus(spark, path)
+
+
+def _suffixes(spark, sf):
+    path = _scratch(spark, "suffixes")
+    st.build_suffixes(documents(spark, sf), path)
+    return path
+
+
+def q_suffix_search(spark, sf):
+    return st.search(spark, _suffixes(spark, sf), INDEXED_PATTERN)
+
+
+def q_suffix_counts_words(spark, sf):
+    """Occurrences of every benchmark word in every document."""
+    return st.count_many(spark, _suffixes(spark, sf), _benchmark_words(spark, sf))
+
+
+def _view(sf):
+    return fi.FileView(f"{sf.rstrip('/')}/documents.parquet", "doc_id", "text")
+
+
+def q_file_index_search(spark, sf):
+    return fi.search(fi.update_index(spark, _view(sf), _scratch(spark, "files")), INDEXED_PATTERN)
+
+
+def q_file_index_positions(spark, sf):
+    """Match positions from positional postings; no text is read for them."""
+    return fi.match_positions(fi.update_index(spark, _view(sf), _scratch(spark, "files")), COUNT_PATTERN)
+
+
+def q_file_index_updates(spark, sf):
+    """An index over a folder to which files come one by one, merged on the way."""
+    folder, path = _scratch(spark, "folder"), _scratch(spark, "files")
+    view = fi.FileView(folder, "doc_id", "text")
+    for part in range(4):
+        docs = table(spark, sf, "documents").select("doc_id", "text").filter(F.col("doc_id") % 4 == part)
+        docs.write.mode("append").parquet(folder)
+        index = fi.update_index(spark, view, path, merge_at=2)
+    return fi.occurrence_count(index, COUNT_PATTERN)
+
+
+def q_signed_search(spark, sf):
+    """A folder of files searched by their signatures."""
+    folder, path = _scratch(spark, "folder"), _scratch(spark, "signatures")
+    table(spark, sf, "documents").select("doc_id", "text").repartitionByRange(8, "doc_id").write.parquet(folder)
+    view = fi.FileView(folder, "doc_id", "text")
+    fi.build_signatures(spark, view, path)
+    return fi.signed_search(spark, view, path, INDEXED_PATTERN)
+
+
+def q_index_reuse_other_view(spark, sf):
+    """An index at the same place, of another column of the same files, is not taken for it."""
+    path = _scratch(spark, "index")
+    ix.build_index(documents(spark, sf), path)
+    index, built = ix.ensure_index(records_from(table(spark, sf, "documents"), "doc_id", "source"), path)
+    if not built:
+        raise RuntimeError("the index of another view was reused")
+    return ix.indexed_search(index, SOURCE_PATTERN)
 
 
 def q_gram_postings(spark, sf):
@@ -350,7 +427,6 @@ def _core_queries():
         "records_from_pages": q_records_from_pages,
         "format_records": q_format_records,
         "tagged_round_trip": q_tagged_round_trip,
-        "tagged_rejects": q_tagged_rejects,
         "boundary_search": q_boundary_search,
         "lookup_records": q_lookup_records,
         "id_audit_events": q_id_audit_events,
@@ -392,6 +468,16 @@ def _core_queries():
         "lookup_ids": q_lookup_ids,
         "tagged_malformed": q_tagged_malformed,
         "compressed_store": q_compressed_store,
+        "corpus_rotation_rank": q_corpus_rotation_rank,
+        "corpus_runs": q_corpus_runs,
+        "corpus_round_trip": q_corpus_round_trip,
+        "suffix_search": q_suffix_search,
+        "suffix_counts_words": q_suffix_counts_words,
+        "file_index_search": q_file_index_search,
+        "file_index_positions": q_file_index_positions,
+        "file_index_updates": q_file_index_updates,
+        "signed_search": q_signed_search,
+        "index_reuse_other_view": q_index_reuse_other_view,
     }
 
 
@@ -466,6 +552,25 @@ def _bwt_sql(blocks: str) -> str:
   GROUP BY block_id"""
 
 
+def _corpus_ranks(rounds: int = 8) -> str:
+    """CTEs up to ``ranks(pos, symbol, last, r)``: all documents end to end; ranks by the
+    first character, then by those of the rotations k, 2k and 3k ahead, k = 1, 4, 16, ..."""
+    out = """
+  txt AS MATERIALIZED (SELECT string_agg('[' || doc_id || ']' || coalesce(text, ''), '' ORDER BY doc_id) AS t FROM documents),
+  ch AS MATERIALIZED (SELECT CAST(generate_subscripts(c, 1) - 1 AS BIGINT) AS pos, unnest(c) AS symbol
+         FROM (SELECT string_split(t, '') AS c FROM txt)),
+  tot AS MATERIALIZED (SELECT count(*) AS n FROM ch),
+  r0 AS MATERIALIZED (SELECT pos, rank() OVER (ORDER BY symbol) - 1 AS r FROM ch)"""
+    for i in range(rounds):
+        k = 4 ** i
+        out += f""",
+  r{i + 1} AS MATERIALIZED (SELECT a.pos, rank() OVER (ORDER BY a.r, b.r, c.r, d.r) - 1 AS r FROM r{i} a, tot
+    JOIN r{i} b ON b.pos = (a.pos + {k}) % n JOIN r{i} c ON c.pos = (a.pos + {2 * k}) % n JOIN r{i} d ON d.pos = (a.pos + {3 * k}) % n)"""
+    return out + f""",
+  ranks AS MATERIALIZED (SELECT c.pos, c.symbol, p.symbol AS last, x.r FROM r{rounds} x JOIN ch c ON c.pos = x.pos, tot
+    JOIN ch p ON p.pos = (x.pos + n - 1) % n)"""
+
+
 def _size_sql(runs: str) -> str:
     return f"""
   WITH r AS ({runs})
@@ -501,13 +606,13 @@ def _core_oracles():
     words = """SELECT DISTINCT w AS pattern FROM (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark)
                WHERE length(w) > 0"""
     part_chars = _chars(_PART_BLOCKS)
+    checked = f"SELECT * FROM ({_DOC_BLOCKS}) WHERE block_id % {CHECKED} = 0"
     return {
         "keyword_search": f"{docs} WHERE contains(text, '{KEYWORD}') ORDER BY doc_id",
         "keyword_search_non_ascii": f"{docs} WHERE contains(text, '{KEYWORD_NON_ASCII}') ORDER BY doc_id",
         "records_from_pages": "SELECT page_id AS record_id, html AS content FROM pages",
         "format_records": "SELECT '[' || CAST(doc_id AS VARCHAR) || ']' || text AS value FROM documents",
         "tagged_round_trip": docs,
-        "tagged_rejects": "SELECT 'none' AS reason WHERE false",
         "boundary_search": f"""
   SELECT d.doc_id AS record_id, d.text AS content FROM documents d
   JOIN documents n ON n.doc_id = CASE WHEN d.doc_id = (SELECT max(doc_id) FROM documents)
@@ -553,7 +658,7 @@ def _core_oracles():
         "runs_store_round_trip": _text_runs(_PART_BLOCKS),
         "compressed_size": _size_sql(_text_runs(_DOC_BLOCKS)),
         "compressed_size_bwt": _size_sql(_text_runs(
-            f"SELECT block_id, bwt_text AS text FROM ({_bwt_sql(_blocks_sql(BWT_BLOCK))})")),
+            f"SELECT block_id, bwt_text AS text FROM ({_bwt_sql(checked)})")) + " HAVING block_id IS NOT NULL",
         "symbol_histogram": f"""
   WITH c AS (SELECT block_id, symbol, CAST(count(*) AS BIGINT) AS cnt FROM ({_chars(_DOC_BLOCKS)})
              GROUP BY block_id, symbol)
@@ -597,7 +702,39 @@ def _core_oracles():
   FROM r""",
         "bwt_part": _bwt_sql(_PART_BLOCKS),
         "inverse_bwt_part": _PART_BLOCKS,
-        "bwt_documents": _bwt_sql(_blocks_sql(BWT_BLOCK)),
+        "bwt_documents": _bwt_sql(checked),
+        "corpus_rotation_rank": f"""
+  WITH {_corpus_ranks()}
+  SELECT pos, symbol, CAST(r AS BIGINT) AS rank FROM ranks WHERE pos % {CHECKED} = 0""",
+        "corpus_runs": f"""
+  WITH {_corpus_ranks()},
+  f AS (SELECT row_number() OVER (ORDER BY r, pos) AS i, last,
+               CASE WHEN lag(last) OVER (ORDER BY r, pos) = last THEN 0 ELSE 1 END AS chg FROM ranks),
+  g AS (SELECT last, sum(chg) OVER (ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM f),
+  u AS (SELECT any_value(last) AS symbol, count(*) AS k FROM g GROUP BY run)
+  SELECT symbol, CAST(count(*) AS BIGINT) AS n_runs, CAST(sum(k) AS BIGINT) AS n_chars,
+         CAST(sum({_encoded_bytes('k')}) AS BIGINT) AS encoded_bytes FROM u GROUP BY symbol""",
+        "corpus_round_trip": docs,
+        "suffix_search": f"{docs} WHERE contains(text, '{INDEXED_PATTERN}') ORDER BY doc_id",
+        "suffix_counts_words": f"""
+  WITH w AS ({words}),
+  m AS (SELECT max(length(pattern)) AS most FROM w),
+  c AS (SELECT doc_id, substr(text, CAST(s * 256 + 1 AS BIGINT), 256 + most) AS t, least(256, length(text) - s * 256) AS k
+        FROM (SELECT doc_id, text, unnest(range(0, CAST(ceil(length(text) / 256.0) AS BIGINT))) AS s FROM documents), m),
+  i AS (SELECT doc_id, t, unnest(range(1, k + 1)) AS i FROM c),
+  g AS (SELECT doc_id, substr(t, i, size) AS pattern FROM i, (SELECT DISTINCT length(pattern) AS size FROM w)
+        WHERE i + size - 1 <= length(t))
+  SELECT pattern, doc_id AS record_id, CAST(count(*) AS BIGINT) AS n FROM g JOIN w USING (pattern) GROUP BY ALL""",
+        "file_index_search": f"{docs} WHERE contains(text, '{INDEXED_PATTERN}') ORDER BY doc_id",
+        "file_index_positions": f"""
+  SELECT doc_id AS record_id, CAST(unnest({_positions(COUNT_PATTERN)}) AS BIGINT) AS pos
+  FROM documents WHERE contains(text, '{COUNT_PATTERN}')""",
+        "file_index_updates": f"""
+  SELECT doc_id AS record_id, CAST(len({_positions(COUNT_PATTERN)}) AS BIGINT) AS n
+  FROM documents WHERE contains(text, '{COUNT_PATTERN}')""",
+        "signed_search": f"{docs} WHERE contains(text, '{INDEXED_PATTERN}') ORDER BY doc_id",
+        "index_reuse_other_view": f"""
+  SELECT doc_id AS record_id, source AS content FROM documents WHERE contains(source, '{SOURCE_PATTERN}') ORDER BY doc_id""",
         "inverse_bwt_documents": _DOC_BLOCKS,
         "gram_postings": """
   SELECT DISTINCT gram, record_id FROM (

@@ -44,7 +44,8 @@ SIGNATURE_BITS = 1 << 20
 @dataclass(frozen=True)
 class FileView:
     """Records of the files under ``path``: a format with its options and schema, an id and a
-    text column, and a condition on rows.  Equal views give equal records of a file."""
+    text column, and a condition on rows.  Equal views give equal records of a file.
+    (``basePath`` among the options keeps the columns of partition folders.)"""
 
     path: str
     id_col: str
@@ -66,7 +67,7 @@ class FileView:
 
     def records(self, spark: SparkSession, paths: list[str]) -> DataFrame:
         """``(file, record_id, content)`` of the files at ``paths``; no other is read."""
-        reader = spark.read.format(self.format).options(**dict(self.options)).option("basePath", self.path)
+        reader = spark.read.format(self.format).options(**dict(self.options))
         if self.schema:
             reader = reader.schema(self.schema)
         df = reader.load([escaped_path(p) for p in paths])
