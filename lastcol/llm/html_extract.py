@@ -24,6 +24,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,11 +34,14 @@ from pyspark.sql import functions as F
 from .common import null_id, plain_id, stored
 
 #: Branches below this importance are removed, if at least MIN_PAGES pages of
-#: the host hold them (fewer say nothing about variation).
+#: the host hold them.  Of fewer pages a near copy, not a layout, is the likely reason
+#: why a line repeats, and removing it would take the text of an article.
 MIN_IMPORTANCE = 0.3
 MIN_PAGES = 8
-#: Broadcast the removed branches up to this many rows; joined by host beyond.
+#: Removed branches and blocks are handed to all tasks up to this many rows, each a
+#: path or a number; beyond, they meet the pages of their host in groups.
 BROADCAST_ROWS = 200_000
+GROUP_PAGES = 256
 
 # HTML's element classes.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,6 +54,9 @@ _NOISE = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*
     masthead|footer|sidebar|side|aside|widget|cookies?|consent|notice|gdpr|popup|modal|overlay|newsletter|subscribe|
     signup|login|share|sharing|social|related|recommend\w*|comments?|respond|replies|reply|disqus|pagination|pager|
     copyright|legal|toolbar|search\w*|skip|hidden|byline|tags?)(?=$|[\s_-])""", re.I | re.X)
+#: Words that say nothing of their own beside one of _NOISE, in names within an article.
+_PLAIN = frozenset("""list box item items wrap wrapper container area section block bar button buttons link links
+posts articles form thread inner outer body text content title icon icons top bottom left right inline slot unit""".split())
 _CLOSES = {  # a start tag that ends an open element of these, within its block
     **dict.fromkeys("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
                     "header hr main menu nav ol p pre section table ul".split(), frozenset(["p"])),
@@ -58,16 +65,34 @@ _CLOSES = {  # a start tag that ends an open element of these, within its block
     "option": frozenset(["option"]),
 }
 _FENCES = frozenset("html body div article section main td th table ul ol dl blockquote aside header footer nav".split())
-_TAG = re.compile(r"<(?:!--.*?(?:-->|$)|([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)>|"
-                  r"/([a-zA-Z][^\s>]*)[^>]*>|[!?][^>]*(?:>|$))", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_ATTRS = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
+_END = re.compile(r"[^>]*>")
+_OTHER = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)", re.S)
 _ATTR = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
                    re.I)
 _SPACE = re.compile(r"\s+")
+#: Steps of a path; an element deeper down counts as its ancestor at that depth.
+MAX_DEPTH = 64
 
 
-def _step(tag: str, attrs: str) -> tuple[str, bool]:
+def _named_noise(names: str, within: bool) -> bool:
+    """Whether a class or id says that an element is no content.  Outside an
+    article a part of a name is enough; within one a whole name must say so, beside
+    plain words at most (``comment-list``, but not ``related-work``)."""
+    if not within:
+        return _NOISE.search(names) is not None
+    for name in names.split():
+        parts = [p for p in re.split(r"[_-]+", name.lower()) if p and not p.isdigit()]
+        said = [_NOISE.fullmatch(p) is not None for p in parts]
+        if any(said) and all(n or p in _PLAIN for n, p in zip(said, parts, strict=True)):
+            return True
+    return False
+
+
+def _step(tag: str, attrs: str, within: bool = False) -> tuple[str, bool]:
     """The presentation step of an element, and whether it is marked as none
-    of the content."""
+    of the content; ``within`` an article or main element."""
     if not attrs or "=" not in attrs and "hidden" not in attrs:
         return tag, tag in _SKIP
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
@@ -76,21 +101,64 @@ def _step(tag: str, attrs: str) -> tuple[str, bool]:
     noise = (tag in _SKIP or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
              or role in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert")
              or re.search(r"display\s*:\s*none", found.get("style", ""), re.I) is not None
-             or tag not in ("body", "html", "article", "main") and bool(names) and _NOISE.search(names) is not None)
+             or tag not in ("body", "html", "article", "main") and bool(names) and _named_noise(names, within))
     label = re.sub(r"\d+", "#", names)  # ids that count pages are one step
     return (f"{tag}.{label}" if label else tag), noise
 
 
+def _tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """Places of ``>`` and quotes, and for each where a tag ends that is read on
+    from there: at the next ``>`` outside quotes (-1: nowhere).  One pass."""
+    at = [m.start() for m in re.finditer("[>\"']", page)]
+    ends, after = [-1] * (len(at) + 1), {}
+    for j in range(len(at) - 1, -1, -1):
+        c = page[at[j]]
+        ends[j] = at[j] if c == ">" else ends[after[c] + 1] if c in after else -1
+        after[c] = j
+    return at, ends
+
+
+class _Open:
+    """Open elements, and where the last one of each tag stands."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, str, bool, bool, str, bool]] = []  # tag, path, marked, ends a block, block's path, within article
+        self.at: dict[str, list[int]] = {}
+
+    def last(self, tags) -> int:
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+
+    def push(self, tag, path, marked, block):
+        owner = path if block else self.stack[-1][4] if self.stack else ""
+        within = tag in ("article", "main") or bool(self.stack) and self.stack[-1][5]
+        self.at.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, path, marked, block, owner, within))
+
+    def cut(self, to: int) -> bool:
+        """Close all from ``to`` on; whether a block was among them."""
+        block = any(e[3] for e in self.stack[to:])
+        for e in self.stack[to:]:
+            self.at[e[0]].pop()
+        del self.stack[to:]
+        return block
+
+
+_INLINE_FENCES = ("article", "body", "main", "td")
+
+
 def parse(page: str) -> list[tuple[str, str]]:
     """Blocks of a page as (path of its element, text), in page order; marked
     branches are left out.  Unclosed and stray tags are taken as HTML does for
     paragraphs, list items and table cells; a raw element that is never closed
-    runs to the end."""
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, path, marked, ends a block
+    runs to the end.  Time is linear in the page, also of broken ones."""
+    opened = _Open()
+    stack = opened.stack
     out: list[tuple[str, str]] = []
     text: list[str] = []
     owner, marked = "", False
     pos, n = 0, len(page)
+    last_end = page.rfind(">")
+    tag_ends, endless = None, set()
 
     def flush(path: str) -> None:
         nonlocal text
@@ -102,11 +170,9 @@ def parse(page: str) -> list[tuple[str, str]]:
 
     def close(to: int) -> None:
         nonlocal owner, marked
-        for _, _, _, block in reversed(stack[to:]):
-            if block:
-                flush(owner)
-        del stack[to:]
-        owner = next((p for _, p, _, b in reversed(stack) if b), "")
+        if opened.cut(to):
+            flush(owner)
+        owner = stack[-1][4] if stack else ""
         marked = stack[-1][2] if stack else False
 
     while pos < n:
@@ -117,52 +183,68 @@ def parse(page: str) -> list[tuple[str, str]]:
             text.append(page[pos:lt])
         if lt == n:
             break
-        m = _TAG.match(page, lt)
-        if not m:  # a bare sign
+        start = tail = None  # a start tag and its attributes, or an end tag
+        name = _NAME.match(page, lt)
+        if name is None:
+            m = _OTHER.match(page, lt) if page.startswith(("<!", "<?"), lt) else None
+            end = m.end() if m else -1
+        elif name[1]:
+            end = _END.match(page, name.end(), last_end + 1).end() if lt < last_end else -1
+            tail = name[2]
+        else:
+            if tag_ends is None:
+                m = _ATTRS.match(page, name.end())
+                end = m.end() if m else -1
+                if not m:  # the first tag that never ends: from here on by the table
+                    tag_ends = _tag_ends(page)
+            if tag_ends is not None:
+                end = tag_ends[1][bisect_left(tag_ends[0], name.end())] + 1 or -1
+            start = name[2]
+        if end < 0:  # a bare sign
             if not marked:
                 text.append("<")
             pos = lt + 1
             continue
-        pos = m.end()
-        if m[1]:
-            tag = m[1].lower()
+        pos = end
+        if start:
+            tag, attrs = start.lower(), page[name.end():end - 1]
             ends = _CLOSES.get(tag)
-            if ends:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in ends:
-                        close(i)
-                        if tag not in ("tr", "td", "th", "li", "dt", "dd"):
-                            break
-                    elif stack[i][0] in _FENCES:
-                        break
+            while ends:
+                i = opened.last(ends)
+                if i <= opened.last(_FENCES - ends):
+                    break
+                close(i)
+                if tag not in ("tr", "td", "th", "li", "dt", "dd"):
+                    break
             block = tag in _BLOCK or tag in _SKIP and tag not in ("label", "button", "input", "select")
             if block:
                 flush(owner)
             elif tag == "br" and not marked:
                 text.append(" ")
-            if tag in _VOID or m[2].endswith("/") and tag in ("svg", "math"):
-                continue
-            step, noise = _step(tag, m[2])
-            if tag == "header" and noise and any(t in ("article", "main") for t, *_ in stack):
-                noise = step != "header" and _NOISE.search(step[7:]) is not None  # holds the article's own title
-            path = f"{stack[-1][1] if stack else ''}/{step}"
-            if tag in _RAW and (end := re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, pos)):
-                pos = end.end()
+            if tag in _VOID or attrs.endswith("/") and tag in ("svg", "math"):
                 continue
+            within = bool(stack) and stack[-1][5]
+            step, noise = _step(tag, attrs, within)
+            if tag == "header" and noise and within:
+                noise = step != "header" and _named_noise(step[7:], True)  # holds the article's own title
+            above = stack[-1][1] if stack else ""
+            path = f"{above}/{step}" if len(stack) < MAX_DEPTH else above
+            if tag in _RAW and tag not in endless:
+                if found := re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, pos, last_end + 1):
+                    pos = found.end()
+                    continue
+                endless.add(tag)
             if tag in _RAW and tag not in ("object", "svg", "math", "canvas", "noscript", "template"):
                 break
-            stack.append((tag, path, marked or noise, block))
+            opened.push(tag, path, marked or noise, block)
             marked = marked or noise
             if block:
                 owner = path
-        elif m[3]:
-            tag = m[3].lower()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-                if stack[i][0] in ("article", "body", "main", "td") and tag not in _BLOCK | _SKIP:
-                    break
+        elif tail:
+            tag = tail.lower()
+            i = opened.last((tag,))
+            if i >= 0 and (tag in _BLOCK or tag in _SKIP or i >= opened.last(_INLINE_FENCES)):
+                close(i)
     close(0)
     flush("")
     return out
@@ -242,6 +324,21 @@ def _main_text(page: str | None, removed: frozenset[str], repeated: frozenset[in
                      and not (repeated and _key(p, t) in repeated))
 
 
+_TEXTS = "page_id long, url string, text string, n_chars long"
+
+
+def _extracted(pdf: pd.DataFrame, held: dict[str, tuple[set, set]]) -> pd.DataFrame:
+    none = (frozenset(), frozenset())
+    text = [_main_text(page, *held.get(host, none)) for host, page in zip(pdf["host"], pdf["html"], strict=True)]
+    return pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": text, "n_chars": [len(t) for t in text]})
+
+
+def _extracted_group(pages: pd.DataFrame, low: pd.DataFrame) -> pd.DataFrame:
+    paths = low["path"].notna()
+    own = (set(low["path"][paths]), {int(x) for x in low["content"][~paths]})
+    return _extracted(pages, dict.fromkeys(pages["host"].unique(), own))
+
+
 def extract(pages: DataFrame, min_importance: float = MIN_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``.
 
@@ -260,25 +357,25 @@ def extract(pages: DataFrame, min_importance: float = MIN_IMPORTANCE, min_pages:
     block = (counts.filter(F.col("block") & (F.col("count") > min_pages ** (1 - min_importance) * 0.999))
              .join(trees, ["host", "path"]).filter(1 - F.log("count") / F.log("n_pages") < min_importance)
              .select("host", F.lit(None).cast("string").alias("path"), "content"))
-    low = stored(branch.unionByName(block).groupBy("host").agg(
-        F.collect_list("path").alias("removed"), F.collect_list("content").alias("repeated")), "style-tree")
-    n_low = low.select(F.sum(F.size("removed") + F.size("repeated"))).first()[0]
-    if n_low is None:
-        joined = rows.withColumns({c: F.lit(None).cast(low.schema[c].dataType) for c in ("removed", "repeated")})
-    elif n_low <= BROADCAST_ROWS:
-        joined = rows.join(F.broadcast(low), "host", "left")
-    else:
-        joined = rows.join(low, "host", "left")
-
-    def run(frames):
-        for pdf in frames:
-            for at in range(0, len(pdf), 256):
-                part = pdf.iloc[at:at + 256]
-                text = [_main_text(h, frozenset(() if r is None else r), frozenset(() if b is None else b))
-                        for h, r, b in zip(part["html"], part["removed"], part["repeated"], strict=True)]
-                yield pd.DataFrame({"page_id": part["page_id"], "url": part["url"], "text": text,
-                                    "n_chars": [len(t) for t in text]})
-
-    return (joined.select("page_id", "url", "html", "removed", "repeated")
-            .mapInPandas(run, "page_id long, url string, text string, n_chars long")
-            .withColumn("page_id", null_id("page_id")))
+    low = stored(branch.unionByName(block), "style-tree")
+    cols = ["host", "page_id", "url", "html"]
+    if low.count() <= BROADCAST_ROWS:
+        held: dict[str, tuple[set, set]] = {}
+        for r in low.collect():
+            own = held.setdefault(r["host"], (set(), set()))
+            own[r["path"] is None].add(r["content"] if r["path"] is None else r["path"])
+
+        def run(frames):
+            for pdf in frames:
+                for at in range(0, len(pdf), 256):
+                    yield _extracted(pdf.iloc[at:at + 256], held)
+
+        out = rows.select(*cols).mapInPandas(run, _TEXTS)
+    else:  # pages of a host meet its lists in groups of bounded size
+        groups = rows.groupBy("host").agg(F.ceil(F.count("*") / GROUP_PAGES).cast("int").alias("groups"))
+        turn = F.pmod(F.xxhash64("page_id", "url", F.length("html")), F.col("groups")).cast("int").alias("turn")
+        lists = low.join(groups, "host").select("host", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("turn"), "path",
+                                               F.col("content").cast("string").alias("content"))  # pandas would round it beside nulls
+        out = stored(rows.join(groups, "host").select(*cols, turn), "pages").groupBy("host", "turn").cogroup(
+            stored(lists, "lists").groupBy("host", "turn")).applyInPandas(_extracted_group, _TEXTS)
+    return out.withColumn("page_id", null_id("page_id"))

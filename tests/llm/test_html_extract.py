@@ -1,5 +1,7 @@
 import math
 import random
+import time
+from bisect import bisect_left
 
 import pytest
 
@@ -26,6 +28,47 @@ def test_blocks(page, want):
     assert text(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<article><div class="post-header"><h1>Title</h1></div><div class="legal-analysis"><p>Law body</p></div><p>Body</p></article>',
+     "Title\nLaw body\nBody"),
+    ('<article><section class="related-work"><p>w</p></section><p id="side-effects">s</p></article>', "w\ns"),
+    ('<article><p>x</p><div class="comment-list">no</div><div class="share-buttons">no</div><div id="ad">no</div></article>', "x"),
+    ('<main><div class="social share">no</div><p class="lead related-posts">no</p><p>x</p></main>', "x"),
+    ('<div class="related-work">no</div><article>x</article>', "x"),
+])
+def test_names_within_an_article_must_say_it_whole(page, want):
+    assert text(page) == want
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, '<a "' * 250_000, "<b>" * 100_000 + "</b>" * 100_000, "<b>" * 90_000 + "</i>" * 90_000,
+                                  "<svg>" * 60_000, "<svg>" + "</svg " * 90_000, "<b>" * 90_000 + "<h1>" * 90_000, "<div>" * 150_000,
+                                  "<i><td>" + "<b>" * 80_000 + "</i>" * 80_000, "</a " * 250_000])
+def test_broken_pages_take_time_in_proportion(page):
+    began = time.process_time()
+    hx.parse(page)
+    assert time.process_time() - began < 12
+
+
+def test_tag_ends_by_the_table_equal_the_pattern():
+    rng = random.Random(9)
+    for _ in range(3000):
+        page = "".join(rng.choice("<a >\"'x/b") for _ in range(rng.randint(0, 25)))
+        at, ends = hx._tag_ends(page)
+        for i in range(len(page)):
+            m = hx._ATTRS.match(page, i)
+            assert (m.end() - 1 if m else -1) == ends[bisect_left(at, i)], (page, i)
+
+
+def test_lists_of_a_host_by_join_or_at_once(spark, monkeypatch):
+    rng = random.Random(3)
+    pages = site(30, "a.example.com", rng) + site(20, "b.example.com", rng) + site(3, "c.example.com", rng)
+    df = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(pages)] + [(None, None, None)], "page_id long, url string, html string")
+    want = sorted(map(str, hx.extract(df).collect()))
+    monkeypatch.setattr(hx, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(hx, "GROUP_PAGES", 7)
+    assert sorted(map(str, hx.extract(df).collect())) == want
+
+
 def test_very_long_and_deep_pages():
     assert text("<div>" * 3000 + "x" + "</div>" * 3000) == "x"
     assert len(text("<p>" + "word " * 200_000)) == 999_999
