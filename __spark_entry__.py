@@ -552,23 +552,26 @@ def _bwt_sql(blocks: str) -> str:
   GROUP BY block_id"""
 
 
-def _corpus_ranks(rounds: int = 8) -> str:
+def _corpus_ranks(rounds: int = 6) -> str:
     """CTEs up to ``ranks(pos, symbol, last, r)``: all documents end to end; ranks by the
-    first character, then by those of the rotations k, 2k and 3k ahead, k = 1, 4, 16, ..."""
+    first 64 characters, then, where tied, by those of the rotations k, 2k and 3k ahead."""
     out = """
   txt AS MATERIALIZED (SELECT string_agg('[' || doc_id || ']' || coalesce(text, ''), '' ORDER BY doc_id) AS t FROM documents),
-  ch AS MATERIALIZED (SELECT CAST(generate_subscripts(c, 1) - 1 AS BIGINT) AS pos, unnest(c) AS symbol
-         FROM (SELECT string_split(t, '') AS c FROM txt)),
-  tot AS MATERIALIZED (SELECT count(*) AS n FROM ch),
-  r0 AS MATERIALIZED (SELECT pos, rank() OVER (ORDER BY symbol) - 1 AS r FROM ch)"""
+  tot AS MATERIALIZED (SELECT length(t) AS n, t || left(t, 64) AS t FROM txt),
+  ck AS (SELECT s * 1024 AS base, substr(t, s * 1024 + 1, 1024 + 64) AS t, least(1024, n - s * 1024) AS k
+         FROM (SELECT n, t, unnest(range(0, CAST(ceil(n / 1024.0) AS BIGINT))) AS s FROM tot)),
+  ch AS MATERIALIZED (SELECT base + i AS pos, substr(t, i + 1, 64) AS key FROM (SELECT base, t, unnest(range(0, k)) AS i FROM ck)),
+  r0 AS MATERIALIZED (SELECT pos, rank() OVER (ORDER BY key) - 1 AS r FROM ch)"""
     for i in range(rounds):
-        k = 4 ** i
+        k = 64 * 4 ** i
         out += f""",
-  r{i + 1} AS MATERIALIZED (SELECT a.pos, rank() OVER (ORDER BY a.r, b.r, c.r, d.r) - 1 AS r FROM r{i} a, tot
+  t{i} AS MATERIALIZED (SELECT pos, r FROM r{i} WHERE r IN (SELECT r FROM r{i} GROUP BY r HAVING count(*) > 1)),
+  r{i + 1} AS MATERIALIZED (SELECT pos, r FROM r{i} WHERE pos NOT IN (SELECT pos FROM t{i}) UNION ALL
+    SELECT a.pos, a.r + rank() OVER (PARTITION BY a.r ORDER BY b.r, c.r, d.r) - 1 AS r FROM t{i} a, (SELECT n FROM tot)
     JOIN r{i} b ON b.pos = (a.pos + {k}) % n JOIN r{i} c ON c.pos = (a.pos + {2 * k}) % n JOIN r{i} d ON d.pos = (a.pos + {3 * k}) % n)"""
     return out + f""",
-  ranks AS MATERIALIZED (SELECT c.pos, c.symbol, p.symbol AS last, x.r FROM r{rounds} x JOIN ch c ON c.pos = x.pos, tot
-    JOIN ch p ON p.pos = (x.pos + n - 1) % n)"""
+  ranks AS MATERIALIZED (SELECT c.pos, left(c.key, 1) AS symbol, left(p.key, 1) AS last, x.r FROM r{rounds} x JOIN ch c ON c.pos = x.pos,
+    (SELECT n FROM tot) JOIN ch p ON p.pos = (x.pos + n - 1) % n)"""
 
 
 def _size_sql(runs: str) -> str:
