@@ -565,13 +565,15 @@ def _corpus_ranks(rounds: int = 6) -> str:
     for i in range(rounds):
         k = 64 * 4 ** i
         out += f""",
-  t{i} AS MATERIALIZED (SELECT pos, r FROM r{i} WHERE r IN (SELECT r FROM r{i} GROUP BY r HAVING count(*) > 1)),
+  t{i} AS MATERIALIZED (SELECT pos, r, (pos + {k}) % n AS p1, (pos + {2 * k}) % n AS p2, (pos + {3 * k}) % n AS p3 FROM r{i}, tot
+    WHERE r IN (SELECT r FROM r{i} GROUP BY r HAVING count(*) > 1)),
   r{i + 1} AS MATERIALIZED (SELECT pos, r FROM r{i} WHERE pos NOT IN (SELECT pos FROM t{i}) UNION ALL
-    SELECT a.pos, a.r + rank() OVER (PARTITION BY a.r ORDER BY b.r, c.r, d.r) - 1 AS r FROM t{i} a, (SELECT n FROM tot)
-    JOIN r{i} b ON b.pos = (a.pos + {k}) % n JOIN r{i} c ON c.pos = (a.pos + {2 * k}) % n JOIN r{i} d ON d.pos = (a.pos + {3 * k}) % n)"""
+    SELECT a.pos, a.r + rank() OVER (PARTITION BY a.r ORDER BY b.r, c.r, d.r) - 1 AS r
+    FROM t{i} a JOIN r{i} b ON b.pos = a.p1 JOIN r{i} c ON c.pos = a.p2 JOIN r{i} d ON d.pos = a.p3)"""
     return out + f""",
-  ranks AS MATERIALIZED (SELECT c.pos, left(c.key, 1) AS symbol, left(p.key, 1) AS last, x.r FROM r{rounds} x JOIN ch c ON c.pos = x.pos,
-    (SELECT n FROM tot) JOIN ch p ON p.pos = (x.pos + n - 1) % n)"""
+  x AS MATERIALIZED (SELECT pos, r, (pos + n - 1) % n AS p FROM r{rounds}, tot),
+  ranks AS MATERIALIZED (SELECT x.pos, left(c.key, 1) AS symbol, left(p.key, 1) AS last, x.r
+                         FROM x JOIN ch c ON c.pos = x.pos JOIN ch p ON p.pos = x.p)"""
 
 
 def _size_sql(runs: str) -> str:
