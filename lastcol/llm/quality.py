@@ -3,12 +3,15 @@
 One classifier sees only the text (character and word statistics, and hashed
 words), the other only the page's metadata (source, language, recorded length
 and how that length sits among the source's).  Both start from the labelled
-rows.  In each round each view labels the unlabelled rows it is surest of, and
-the other view learns them with its own.  At the end each view is calibrated on
-labelled rows it did not train on, and the calibrated scores are combined.
-
-Training uses a bounded sample (FIT_ROWS of each label, POOL_ROWS unlabelled);
-scoring covers every row, and the metadata statistics are taken over all rows.
+rows.  In each round each view labels, of all unlabelled rows, the share it is
+surest of, and the other view learns them with its own.  At the end each view is
+calibrated on labelled rows it did not train on, and the calibrated scores are combined.
+
+Features are computed once for every row and stored.  A round is two passes over
+them: the first gives the quantiles of each view's scores over the rows that are
+still free, the second adds up the second moments of the newly labelled rows, from
+which the pupil is fitted anew.  Only the labelled rows are a bounded sample
+(FIT_ROWS of each label).
 """
 
 from __future__ import annotations
@@ -22,16 +25,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import BROADCAST_IDS, NO_ID, null_id, plain_id, stored
 
+#: Labelled rows of each class that are learned from.
 FIT_ROWS = 1500
-POOL_ROWS = 3000
-#: The longest text that may be trained on, in characters.
-FIT_CHARS = 20_000
 ROUNDS = 4
-#: Share of the pool that a view labels in a round, from each end.
+#: Share of the free unlabelled rows that a view labels in a round, from each end.
 SURE = 0.05
 HASHED = 256
+#: Features of the metadata view.
+META = 12
 #: Share of the labelled rows kept for calibration.
 CALIBRATE = 0.25
 #: Sources whose statistics are broadcast; joined beyond.
@@ -91,7 +94,7 @@ def with_metadata(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class View:
-    """Logistic regression over standardised features, with its calibration."""
+    """A linear score over standardised features, as log odds, with its calibration."""
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
@@ -129,45 +132,129 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60
     return w[:-1], float(w[-1])
 
 
-def _view(x: np.ndarray, y: np.ndarray) -> View:
-    mean, scale = x.mean(0), np.maximum(x.std(0), 0.02)
-    w, b = _logistic((x - mean) / scale, y)
-    return View(mean, scale, w, b)
+def moments(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Per class the products of the features and a one, summed over rows: such sums add up."""
+    z = np.c_[x, np.ones(len(x))]
+    return np.stack([z[y == c].T @ z[y == c] for c in (0, 1)])
+
+
+def _view(sums: np.ndarray, x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> View:
+    """Ridged least squares for the class as -1 and 1, classes of equal weight, from
+    moments; turned into log odds on the labelled rows ``x, y``."""
+    share = 0.5 / np.maximum(1, sums[:, -1, -1])
+    both = (sums * share[:, None, None]).sum(0)
+    mean = both[:-1, -1] / both[-1, -1]
+    spread = both[:-1, :-1] / both[-1, -1] - np.outer(mean, mean)
+    scale = np.sqrt(np.maximum(np.diag(spread), 0.02 ** 2))
+    towards = sum(sign * share[c] * (sums[c][:-1, -1] - sums[c][-1, -1] * mean) for c, sign in ((0, -1), (1, 1))) / scale
+    w = np.linalg.solve(spread / np.outer(scale, scale) + ridge * np.eye(len(mean)), towards)
+    slope, offset = _logistic(((x - mean) / scale @ w)[:, None], y, ridge=1e-3)
+    return View(mean, scale, w * max(0.0, float(slope[0])), offset)
 
 
 def _odds(p: np.ndarray) -> np.ndarray:
     return np.log(np.clip(p, 1e-6, 1 - 1e-6) / np.clip(1 - p, 1e-6, 1 - 1e-6))
 
 
-def co_train(xt: np.ndarray, xm: np.ndarray, y: np.ndarray, pt: np.ndarray, pm: np.ndarray, seed: int = 0) -> Model:
-    """Model from labelled rows (text and metadata features, labels) and a
-    pool without labels."""
+PUPIL = {"text": "meta", "meta": "text"}
+
+
+def taken(events: list, x: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """What the events ``(teacher, view, low, high)`` say about rows with features
+    ``x``: per pupil the labels (-1: none), and which rows are still free."""
+    n = len(x["text"])
+    free, labels = np.ones(n, bool), {k: np.full(n, -1) for k in PUPIL}
+    for teacher, view, low, high in events:
+        raw = view.raw(x[teacher])
+        sure = free & ((raw <= low) | (raw >= high))
+        labels[PUPIL[teacher]][sure] = raw[sure] > 0
+        free &= ~sure
+    return labels, free
+
+
+class ArrayPool:
+    """Unlabelled rows in memory."""
+
+    def __init__(self, xt: np.ndarray, xm: np.ndarray):
+        self.x = {"text": xt, "meta": xm}
+
+    def ends(self, events, views):
+        """Per view the scores that cut off SURE of the free rows at either end; None without rows."""
+        free = taken(events, self.x)[1]
+        if not free.any():
+            return None
+        return {k: tuple(np.quantile(v.raw(self.x[k][free]), [SURE, 1 - SURE])) for k, v in views.items()}
+
+    def moments(self, before, events):
+        """Moments of the rows that the events label, and ``before`` do not, per pupil."""
+        free, (labels, _) = taken(before, self.x)[1], taken(events, self.x)
+        return {k: moments(self.x[k][free & (y >= 0)], y[free & (y >= 0)]) for k, y in labels.items()}
+
+
+class TablePool:
+    """Unlabelled rows as a stored table ``(xt, xm)`` of packed features: every
+    answer is a pass over all of them, added up by Spark."""
+
+    def __init__(self, table: DataFrame):
+        self.table = table
+
+    def ends(self, events, views):
+        def run(frames):
+            for pdf in frames:
+                pool = _unpacked(pdf)
+                free = taken(events, pool)[1]
+                yield pd.DataFrame({k: v.raw(pool[k][free]) for k, v in views.items()})
+
+        got = self.table.mapInPandas(run, "text double, meta double").agg(
+            F.count("*").alias("n"), *[F.percentile_approx(k, [SURE, 1 - SURE], 10_000).alias(k) for k in views]).first()
+        return {k: tuple(got[k]) for k in views} if got["n"] else None
+
+    def moments(self, before, events):
+        sizes = {"text": 12 + HASHED + 1, "meta": META + 1}
+
+        def run(frames):
+            sums = {k: np.zeros((2, d, d)) for k, d in sizes.items()}
+            for pdf in frames:
+                for k, m in ArrayPool(*_unpacked(pdf).values()).moments(before, events).items():
+                    sums[k] += m
+            for k, m in sums.items():
+                cells = np.flatnonzero(m.ravel())
+                yield pd.DataFrame({"view": k, "cell": cells, "v": m.ravel()[cells]})
+
+        out = {k: np.zeros(2 * d * d) for k, d in sizes.items()}
+        for r in self.table.mapInPandas(run, "view string, cell long, v double").groupBy("view", "cell").agg(
+                F.sum("v").alias("v")).collect():  # fixed size: pairs of features
+            out[r["view"]][r["cell"]] = r["v"]
+        return {k: m.reshape(2, sizes[k], sizes[k]) for k, m in out.items()}
+
+
+def _unpacked(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
+    n = len(pdf)
+    take = lambda c, d: np.frombuffer(b"".join(pdf[c]), np.float32).astype(float).reshape(n, d)
+    return {"text": take("xt", 12 + HASHED), "meta": take("xm", META)}
+
+
+def co_train_views(xt: np.ndarray, xm: np.ndarray, y: np.ndarray, pool, seed: int = 0) -> Model:
+    """Model from labelled rows (text and metadata features, labels) and a pool
+    of unlabelled ones."""
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
     cut = int(len(y) * CALIBRATE)
     check, fit = order[:cut], order[cut:]
-    own = {"text": [xt[fit], y[fit]], "meta": [xm[fit], y[fit]]}
-    pools = {"text": pt, "meta": pm}
-    free = np.ones(len(pt), bool)
-    views = {k: _view(*v) for k, v in own.items()}
+    own = {"text": xt[fit], "meta": xm[fit]}
+    sums = {k: moments(x, y[fit]) for k, x in own.items()}
+    views = {k: _view(sums[k], own[k], y[fit]) for k in own}
+    events: list = []
     for _ in range(ROUNDS):
-        for teacher, pupil in (("text", "meta"), ("meta", "text")):
-            left = np.flatnonzero(free)
-            k = int(SURE * len(pt))
-            if k == 0 or len(left) < 2 * k:
-                continue
-            raw = views[teacher].raw(pools[teacher][left])
-            by = np.argsort(raw, kind="stable")
-            # sure means beyond the teacher's own margin, not merely the end of the list
-            low, high = by[:k][raw[by[:k]] < -1], by[-k:][raw[by[-k:]] > 1]
-            taken = left[np.r_[low, high]]
-            label = np.r_[np.zeros(len(low)), np.ones(len(high))]
-            if not len(taken):
-                continue
-            free[taken] = False
-            own[pupil][0] = np.concatenate([own[pupil][0], pools[pupil][taken]])
-            own[pupil][1] = np.concatenate([own[pupil][1], label])
-        views = {k: _view(*v) for k, v in own.items()}
+        ends = pool.ends(events, views)
+        if ends is None:
+            break
+        before = list(events)
+        # sure means beyond the teacher's own margin, not merely the end of the list
+        events += [(k, views[k], min(low, -1.0), max(high, 1.0)) for k, (low, high) in ends.items()]
+        for k, m in pool.moments(before, events).items():
+            sums[k] = sums[k] + m
+        views = {k: _view(sums[k], own[k], y[fit]) for k in own}
     held = {"text": xt[check], "meta": xm[check]}
     for k, v in views.items():
         w, b = _logistic(v.raw(held[k])[:, None], y[check], ridge=1e-3)
@@ -177,33 +264,48 @@ def co_train(xt: np.ndarray, xm: np.ndarray, y: np.ndarray, pt: np.ndarray, pm:
     return Model(views["text"], views["meta"], np.r_[b, np.maximum(w, 0)])
 
 
+def co_train(xt: np.ndarray, xm: np.ndarray, y: np.ndarray, pt: np.ndarray, pm: np.ndarray, seed: int = 0) -> Model:
+    """:func:`co_train_views` with a pool in memory."""
+    return co_train_views(xt, xm, y, ArrayPool(pt, pm), seed)
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows never learned from; a row without an id is one."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(True))
 
 
+def _pack(frames):
+    for pdf in frames:
+        for at in range(0, len(pdf), 512):
+            part = pdf.iloc[at:at + 512]
+            yield pd.DataFrame({"doc_id": part["doc_id"], "xt": [text_features(t).astype(np.float32).tobytes() for t in part["text"]],
+                                "xm": [np.asarray(m, np.float32).tobytes() for m in part["meta"]]})
+
+
+def features(docs: DataFrame) -> DataFrame:
+    """``doc_id, xt, xm``: both views of every row as packed numbers, stored."""
+    rows = with_metadata(docs)
+    return stored(rows.select(plain_id(), "text", "meta").mapInPandas(_pack, "doc_id long, xt binary, xm binary"), "features")
+
+
 def fit(rows: DataFrame, labels: DataFrame) -> Model | None:
-    """Model from a bounded sample of ``rows(doc_id, text, meta)``, chosen by a
-    hash of the id; None if the labels hold one class or none."""
-    usable = labels.select("doc_id", F.col("quality").cast("int").alias("y")).filter(
-        F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    """Model from ``rows(doc_id, xt, xm)`` and a bounded sample of the labels,
+    chosen by a hash of the id; None if these hold one class or none."""
+    labelled = labels.select(plain_id(), F.col("quality").cast("int").alias("y")).filter(F.col("doc_id") != NO_ID)
+    usable = labelled.filter(F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
     by_hash = lambda df, n: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     pick = by_hash(usable.filter("y = 0"), FIT_ROWS).unionByName(by_hash(usable.filter("y = 1"), FIT_ROWS))
-    pick = pick.groupBy("doc_id").agg(F.min("y").alias("y"))
-    # a slice of all ids stands for the pool; labelled ones in it are not used as such
-    sized = rows.filter(F.length("text").between(1, FIT_CHARS) & F.col("doc_id").isNotNull())
-    pool = by_hash(rows.select("doc_id").filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))), POOL_ROWS)
-    chosen = stored(pool.select("doc_id", F.lit(-1).alias("y")).unionByName(pick).groupBy("doc_id").agg(
-        F.max("y").alias("y")), "sample")
-    got = sized.join(F.broadcast(chosen), "doc_id").collect()
-    got = sorted({(r["doc_id"], r["text"]): r for r in got}.values(), key=lambda r: (r["doc_id"], r["text"]))
-    y = np.array([r["y"] for r in got], int)
+    pick = stored(pick.groupBy("doc_id").agg(F.min("y").alias("y")), "sample")
+    got = rows.join(F.broadcast(pick), "doc_id").distinct().orderBy("doc_id", "xt").toPandas()
+    y = got["y"].to_numpy(int)
     if not (y == 0).any() or not (y == 1).any():
         return None
-    xt = np.stack([text_features(r["text"]) for r in got])
-    xm = np.array([r["meta"] for r in got], float)
-    lab = y >= 0
-    return co_train(xt[lab], xm[lab], y[lab], xt[~lab], xm[~lab])
+    x = _unpacked(got)
+    known = stored(labelled.select("doc_id").distinct(), "known")
+    few = known.count() <= BROADCAST_IDS
+    free = rows.filter((F.col("doc_id") != NO_ID) & ~held_out(F.col("doc_id"))).join(
+        F.broadcast(known) if few else known, "doc_id", "left_anti")
+    return co_train_views(x["text"], x["meta"], y, TablePool(stored(free.select("xt", "xm"), "pool")))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -215,22 +317,20 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     classes every score is 0.5.  An empty table gives an empty result.  Labels
     are never inputs of a score.
     """
-    rows = with_metadata(docs)
+    rows = features(docs)
     model = fit(rows, labels)
-    out = "score double, text_score double, meta_score double"
     if model is None:
         half = F.lit(0.5)
         scored = rows.select("doc_id", half.alias("score"), half.alias("text_score"), half.alias("meta_score"))
     else:
-        @F.pandas_udf(out)
-        def score(texts: pd.Series, meta: pd.Series) -> pd.DataFrame:
-            t = np.empty(len(texts))
-            for at in range(0, len(texts), 512):
-                t[at:at + 512] = model.text.probability(np.stack([text_features(x) for x in texts.iloc[at:at + 512]]))
-            m = model.meta.probability(np.stack(meta.to_numpy()))
-            z = model.mix[0] + model.mix[1] * _odds(t) + model.mix[2] * _odds(m)
-            return pd.DataFrame({"score": 1 / (1 + np.exp(-np.clip(z, -30, 30))), "text_score": t, "meta_score": m})
-
-        scored = rows.select("doc_id", score("text", "meta").alias("s")).select("doc_id", "s.*")
+        def run(frames):
+            for pdf in frames:
+                x = _unpacked(pdf)
+                t, m = model.text.probability(x["text"]), model.meta.probability(x["meta"])
+                z = model.mix[0] + model.mix[1] * _odds(t) + model.mix[2] * _odds(m)
+                yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": 1 / (1 + np.exp(-np.clip(z, -30, 30))), "text_score": t, "meta_score": m})
+
+        scored = rows.mapInPandas(run, "doc_id long, score double, text_score double, meta_score double")
+    scored = scored.withColumn("doc_id", null_id())
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "text_score", "meta_score")

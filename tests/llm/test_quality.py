@@ -48,3 +48,29 @@ def test_one_class_and_empty_table(spark):
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     assert [r.score for r in quality.score_documents(docs, labels).collect()] == [0.5]
     assert quality.score_documents(docs.limit(0), labels).count() == 0
+
+
+def test_all_unlabelled_rows_are_the_pool(spark):
+    rng = np.random.default_rng(1)
+    n, d = 500, 12 + quality.HASHED
+    y = rng.integers(0, 2, n)
+    xt = np.zeros((n, d), np.float32)
+    xt[:, :3] = y[:, None] + rng.normal(0, 0.5, (n, 3))
+    xm = np.zeros((n, quality.META), np.float32)
+    xm[:, :2] = y[:, None] + rng.normal(0, 0.5, (n, 2))
+    df = spark.createDataFrame([(bytes(a.tobytes()), bytes(b.tobytes())) for a, b in zip(xt, xm)], "xt binary, xm binary").repartition(7)
+    table, arrays = quality.TablePool(df), quality.ArrayPool(xt.astype(float), xm.astype(float))
+    views = {"text": quality._view(quality.moments(xt[:50].astype(float), y[:50]), xt[:50].astype(float), y[:50]),
+             "meta": quality._view(quality.moments(xm[:50].astype(float), y[:50]), xm[:50].astype(float), y[:50])}
+    first = [("text", views["text"], -1.5, 1.5)]
+    events = first + [("meta", views["meta"], -1.0, 1.0)]
+    assert arrays.moments(first, events)["meta"].sum() == 0  # taken before
+    for a, b in zip(table.moments([], events).values(), arrays.moments([], events).values()):
+        assert np.allclose(a, b) and a[:, -1, -1].sum() > 20
+    for k, ends in table.ends(first, views).items():
+        raw = views[k].raw(arrays.x[k][quality.taken(first, arrays.x)[1]])
+        assert abs((raw <= ends[0]).mean() - quality.SURE) < 0.02 and abs((raw >= ends[1]).mean() - quality.SURE) < 0.02
+    both = [quality.co_train_views(xt[:60].astype(float), xm[:60].astype(float), y[:60], p) for p in (table, arrays)]
+    truth = [((m.mix[0] + m.mix[1] * quality._odds(m.text.probability(xt)) + m.mix[2] * quality._odds(m.meta.probability(xm)) > 0) == y).mean()
+             for m in both]
+    assert min(truth) > 0.93
