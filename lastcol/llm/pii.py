@@ -79,25 +79,50 @@ def _valid(kind: str, m: Column) -> Column:
     return F.length(_digits(m)).between(9, 15)
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+#: Lengths that are added up at once; keeps running sums near linear.
+SUM_BLOCK = 256
+
+
+def _sums_by_block(sizes: Column) -> Column:
+    """Sum of the entries before each block of SUM_BLOCK."""
+    add = lambda arr: F.aggregate(arr, F.lit(0), lambda acc, x: acc + x)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / SUM_BLOCK).cast("int")),
+                         lambda b: add(F.slice(sizes, b * SUM_BLOCK + 1, SUM_BLOCK)))
+    return _bound(blocks, lambda q: F.transform(q, lambda _x, b: add(F.slice(q, F.lit(1), b))))
+
+
 def _matches(text: Column, kind: str, base: bool) -> Column:
     """Array of candidate structs of one pattern.  The pieces between the
-    matches (``split``) and the matches themselves alternate, so their lengths
-    give the offsets."""
+    matches (``split``) and the matches themselves alternate, so their running
+    lengths give the offsets."""
     pattern = (BASE if base else LOOSE)[kind]
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    total = lambda arr: F.aggregate(arr, F.lit(0), lambda acc, s: acc + F.length(s))
 
-    def one(m, i):
-        start = total(F.slice(gaps, F.lit(1), i + 1)) + total(F.slice(found, F.lit(1), i))
+    def one(s, i, m):
+        block = F.floor(i / SUM_BLOCK).cast("int")
+        before = s["sums"][block] + F.aggregate(F.slice(s["sizes"], block * SUM_BLOCK + 1, i - block * SUM_BLOCK),
+                                                F.lit(0), lambda acc, x: acc + x)
+        start = before + F.length(s["gaps"][i])
         return F.struct(
             F.lit(kind).alias("kind"), F.lit(KINDS.index(kind)).alias("rank"), start.alias("start"),
             (start + F.length(m)).alias("end"), m.alias("match"),
-            F.right(gaps[i], F.lit(CONTEXT)).alias("before"), F.left(gaps[i + 1], F.lit(1)).alias("after"),
+            F.right(s["gaps"][i], F.lit(CONTEXT)).alias("before"), F.left(s["gaps"][i + 1], F.lit(1)).alias("after"),
             F.lit(base).alias("checked"), (_valid(kind, m) if base else F.lit(False)).alias("base"))
 
+    def placed(found):
+        sized = lambda p: F.struct(p["gaps"].alias("gaps"), F.zip_with(
+            F.slice(p["gaps"], F.lit(1), F.size(found)), found, lambda g, m: F.length(g) + F.length(m)).alias("sizes"))
+        summed = lambda p: F.struct(p["gaps"].alias("gaps"), p["sizes"].alias("sizes"), _sums_by_block(p["sizes"]).alias("sums"))
+        whole = lambda p: _bound(summed(p), lambda s: F.transform(found, lambda m, i: one(s, i, m)))
+        return _bound(F.struct(F.split(text, pattern, -1).alias("gaps")), lambda p: _bound(sized(p), whole))
+
     # most texts hold none: they skip the second pass over the text
-    return F.when(F.size(found) > 0, F.transform(found, one)).otherwise(F.array().cast(CANDIDATES))
+    return _bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(
+        F.size(found) > 0, placed(found)).otherwise(F.array().cast(CANDIDATES)))
 
 
 CANDIDATES = ("array<struct<kind:string,rank:int,start:int,end:int,match:string,before:string,after:string,"

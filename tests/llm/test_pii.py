@@ -1,3 +1,4 @@
+import time
 import hashlib
 import random
 import re
@@ -98,3 +99,15 @@ def test_no_python_on_the_executors(spark):
     df = spark.createDataFrame([(1, "a@b.co")], "doc_id long, text string")
     plan = pii.report(pii.decide(pii.candidates(df), pii.fit(pii.candidates(df))))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_many_matches_in_one_text_take_time_in_proportion(spark):
+    n = 100_000
+    texts = [" ".join(f"é user{i}@ex{i}.org" for i in range(n)), "a@b.c", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.time()
+    rows = {r.doc_id: r for r in pii.report(pii.decide(pii.candidates(df), pii.Model({}, {}))).collect()}
+    assert time.time() - began < 60
+    assert rows[0].n_email == n and rows[1].n_email == 1 and rows[3].n_email == 0
+    spans = [tuple(map(int, x.split(":")[1:])) for x in rows[0].spans.split(",")]
+    assert [texts[0][a:b] for a, b in spans] == [f"user{i}@ex{i}.org" for i in range(n)]

@@ -76,3 +76,13 @@ def test_dedup_of_repeated_ids_and_rows_without_one(spark):
     one = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.drop_near_copies(spark, exact, "").collect())
     ids = [(i, t[0]) for i, t in one]
     assert sorted(ids) == [(0, "e"), (0, "g"), (1, "a"), (1, "d"), (2, "c"), (3, "b"), (5, "f")]
+
+
+def test_columns_of_the_input_that_stages_use_for_themselves_stay(spark):
+    rows = [(1, "one two three four five six", "d1", 7, "k1"), (2, "one two  three four five six", "d2", 8, "k2"),
+            (2, "other words of another text here", "d3", 9, "k3"), (3, "other words of another text here", "d4", 10, "k4")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string, row_id long, row_key string")
+    for stage in (corpus_pipeline.drop_exact_copies, corpus_pipeline.drop_near_copies):
+        got = {tuple(r) for r in stage(spark, docs, "").collect()}
+        assert got <= set(rows) and {r[0] for r in got} >= {1}
+    assert {tuple(r) for r in corpus_pipeline.drop_exact_copies(spark, docs, "").collect()} == {rows[0], rows[2]}
