@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -217,15 +218,43 @@ class TablePool:
             for pdf in frames:
                 for k, m in ArrayPool(*_unpacked(pdf).values()).moments(before, events).items():
                     sums[k] += m
+            salt = TaskContext.get().partitionId() % 64
             for k, m in sums.items():
-                cells = np.flatnonzero(m.ravel())
-                yield pd.DataFrame({"view": k, "cell": cells, "v": m.ravel()[cells]})
-
-        out = {k: np.zeros(2 * d * d) for k, d in sizes.items()}
-        for r in self.table.mapInPandas(run, "view string, cell long, v double").groupBy("view", "cell").agg(
-                F.sum("v").alias("v")).collect():  # fixed size: pairs of features
-            out[r["view"]][r["cell"]] = r["v"]
-        return {k: m.reshape(2, sizes[k], sizes[k]) for k, m in out.items()}
+                if m.any():
+                    at = list(range(0, sizes[k], SUM_ROWS))
+                    yield pd.DataFrame({"view": k, "at": at, "salt": salt, "data": [
+                        zlib.compress(np.ascontiguousarray(m[:, i:i + SUM_ROWS]).tobytes(), 1) for i in at]})
+
+        blocks, keys, schema = self.table.mapInPandas(run, _BLOCKS), ["view", "at", "salt"], _BLOCKS
+        for _ in range(2):  # in two levels, so that no task reads the blocks of all tasks
+            blocks = stored(blocks.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_added, schema), "moments").withColumn(
+                "salt", F.lit(0))
+        out = {k: np.zeros((2, d, d)) for k, d in sizes.items()}
+        for r in blocks.collect():  # fixed size: pairs of features
+            part = np.frombuffer(zlib.decompress(r["data"])).reshape(2, -1, sizes[r["view"]])
+            out[r["view"]][:, r["at"]:r["at"] + part.shape[1]] = part
+        return out
+
+
+_BLOCKS = "view string, at int, salt int, data binary"
+#: Rows of a sum of moments that travel together.
+SUM_ROWS = 16
+
+
+def _added(frames):
+    """Sum of the blocks of each ``(view, at, salt)``, which come in order; one is held."""
+    key, total = None, None
+    row = lambda: pd.DataFrame([(*key, zlib.compress(total.tobytes(), 1))], columns=["view", "at", "salt", "data"])
+    for pdf in frames:
+        for *now, data in zip(pdf["view"], pdf["at"], pdf["salt"], pdf["data"], strict=True):
+            part = np.frombuffer(zlib.decompress(data))
+            if now != key:
+                if key is not None:
+                    yield row()
+                key, total = now, np.zeros(len(part))
+            total = total + part
+    if key is not None:
+        yield row()
 
 
 def _unpacked(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
