@@ -31,9 +31,6 @@ MIN_URLS = 5
 MIN_CONFIDENCE = 0.9
 #: Tokens of a rule.
 RULE_TOKENS = 3
-#: Labels of a host (the last ones), segments of a path and keys of a query (the
-#: first ones) that become tokens.  They bound the combinations of one url.
-HOST_LABELS, PATH_SEGMENTS, QUERY_KEYS = 5, 3, 3
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -63,19 +60,18 @@ def rule_columns(rules=RULES) -> tuple[Column, Column]:
 
 
 def tokens(url: str = "url") -> Column:
-    """Sorted distinct tokens of a row with ``url, host, path, rest``."""
+    """Sorted distinct tokens of a row with ``url, host, path, rest``: every label of
+    the host, segment of the path and key of the query."""
     labels = F.filter(F.split("host", r"\."), lambda x: x != "")
-    labels = F.reverse(F.slice(F.reverse(labels), 1, HOST_LABELS))
-    segments = F.slice(F.filter(F.split("path", "/"), lambda x: x != ""), 1, PATH_SEGMENTS)
+    segments = F.filter(F.split("path", "/"), lambda x: x != "")
     query = F.regexp_extract("rest", r"^[^?#]*\?([^#]*)", 1)
-    keys = F.array_sort(F.array_distinct(F.filter(F.transform(
-        F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)), lambda x: x != "")))
+    keys = F.filter(F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)), lambda x: x != "")
     ending = F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)
     return F.array_sort(F.array_distinct(F.concat(
         F.transform(labels, lambda x: F.concat(F.lit("h:"), x)),
         F.transform(segments, lambda x: F.concat(F.lit("p:"), F.regexp_replace(x, "[0-9]+", "0"))),
         F.transform(F.filter(segments, lambda x: x.rlike("^[0-9]")), lambda x: F.concat(F.lit("d:"), F.left(x, F.lit(1)))),
-        F.transform(F.slice(keys, 1, QUERY_KEYS), lambda x: F.concat(F.lit("q:"), x)),
+        F.transform(keys, lambda x: F.concat(F.lit("q:"), x)),
         F.when(ending != "", F.array(F.concat(F.lit("x:"), lowered(ending)))).otherwise(F.array().cast("array<string>")),
         F.when(F.instr("rest", "#") > 0, F.array(F.lit("f:"))).otherwise(F.array().cast("array<string>")),
         F.when(F.coalesce(F.instr(url, "://"), F.lit(0)) > 1, F.array(F.concat(F.lit("s:"), lowered(
@@ -147,10 +143,10 @@ def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None) -> D
 def _sql_tokens(rows: str) -> str:
     return rf"""
     SELECT *, list_sort(list_distinct(flatten([
-      list_transform(labels[greatest(1, len(labels) - 4):], lambda x: 'h:' || x),
-      list_transform(segs[1:3], lambda x: 'p:' || regexp_replace(x, '[0-9]+', '0', 'g')),
-      list_transform(list_filter(segs[1:3], lambda x: regexp_matches(x, '^[0-9]')), lambda x: 'd:' || x[1]),
-      list_transform(keys[1:3], lambda x: 'q:' || x),
+      list_transform(labels, lambda x: 'h:' || x),
+      list_transform(segs, lambda x: 'p:' || regexp_replace(x, '[0-9]+', '0', 'g')),
+      list_transform(list_filter(segs, lambda x: regexp_matches(x, '^[0-9]')), lambda x: 'd:' || x[1]),
+      list_transform(keys, lambda x: 'q:' || x),
       CASE WHEN ending <> '' THEN ['x:' || lower(ending)] ELSE [] END,
       CASE WHEN contains(rest, '#') THEN ['f:'] ELSE [] END,
       CASE WHEN coalesce(instr(url, '://'), 0) > 1 THEN ['s:' || lower(split_part(url, '://', 1))] ELSE [] END]))) AS tokens
