@@ -9,14 +9,26 @@ balanced when a single key holds a large share of the rows.
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lastcol.functions import chars, encoded_run_bytes
+from lastcol.functions.arrow import code_points, slices, texts_of
 from lastcol.plans.segments import ordered_runs
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: checkpoint spacing (the reference samples counts every 600 encoded bytes).
 CHUNK = 600
+# Rows of a batch that a task gives back.
+_ROWS = 1 << 18
 
 
 def run_length_encode(df: DataFrame, by: list[str] | str | None, order: list[str] | str,
@@ -41,23 +53,37 @@ def symbols(blocks: DataFrame) -> DataFrame:
             .select("block_id", F.col("pos").cast("long").alias("pos"), "symbol"))
 
 
+def _runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, 1):
+            codes, sizes = code_points(part.column(1))
+            ends = np.cumsum(sizes)
+            first = np.zeros(len(codes), bool)
+            first[1:] = codes[1:] != codes[:-1]
+            first[ends[:-1]] = True
+            first[0] = True
+            at = np.flatnonzero(first)
+            per_row = np.diff(np.searchsorted(at, np.r_[0, ends]))
+            row = np.repeat(np.arange(len(sizes)), per_row)
+            out = [part.column(0).take(pa.array(row)),
+                   pa.array(np.arange(len(at)) - np.repeat(np.cumsum(per_row) - per_row, per_row)),
+                   texts_of(codes[at]), pa.array(at - (ends - sizes)[row]), pa.array(np.diff(np.r_[at, len(codes)]))]
+            found = pa.RecordBatch.from_arrays(out, names=["block_id", "run_no", "symbol", "start_pos", "run_len"])
+            for i in range(0, len(at), _ROWS):
+                yield found.slice(i, _ROWS)
+
+
 def text_runs(blocks: DataFrame, text_col: str = "text") -> DataFrame:
     """O14 on text: ``(block_id, run_no, symbol, start_pos, run_len)``.
 
     A run starts where a character differs from the one before it; the starts
-    are found within the row and only runs are exploded, so nothing is
-    shuffled or sorted.
+    are found within the Arrow batch, so nothing is shuffled or sorted.  The runs
+    of a block follow each other.
     """
-    starts = F.filter(F.sequence(F.lit(0), F.size("_c") - 1),
-                      lambda i: (i == 0) | (F.col("_c")[i] != F.col("_c")[F.greatest(i - 1, F.lit(0))]))
-    runs = F.transform("_s", lambda s, k: F.struct(
-        k.cast("long").alias("run_no"), F.col("_c")[s].alias("symbol"), s.cast("long").alias("start_pos"),
-        (F.coalesce(F.get("_s", k + 1), F.size("_c")) - s).cast("long").alias("run_len")))
-    return (blocks.select("block_id", text_col).filter(F.length(text_col) > 0)
-            .select("block_id", chars(text_col).alias("_c"))
-            .select("block_id", "_c", starts.alias("_s"))
-            .select("block_id", F.explode_outer(runs).alias("_e"))
-            .select("block_id", "_e.run_no", "_e.symbol", "_e.start_pos", "_e.run_len"))
+    src = blocks.select("block_id", F.col(text_col).alias("text")).filter(F.length("text") > 0)
+    schema = T.StructType([src.schema["block_id"], T.StructField("run_no", T.LongType()), T.StructField("symbol", T.StringType()),
+                           T.StructField("start_pos", T.LongType()), T.StructField("run_len", T.LongType())])
+    return src.mapInArrow(_runs_of, schema)
 
 
 def run_length_decode(runs: DataFrame) -> DataFrame:
@@ -67,11 +93,34 @@ def run_length_decode(runs: DataFrame) -> DataFrame:
             .select("block_id", (F.col("start_pos") + F.col("_i")).alias("pos"), "symbol"))
 
 
+def _pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs that follow each other in a block, as one text."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block, symbol = batch.column(0), batch.column(1)
+        start, n = (batch.column(i).to_numpy() for i in (2, 3))
+        opens = np.ones(len(start), bool)
+        same = np.asarray(block.slice(1).to_numpy(zero_copy_only=False) == block.slice(0, len(start) - 1).to_numpy(zero_copy_only=False))
+        opens[1:] = ~(same & (start[1:] == start[:-1] + n[:-1]))
+        at = np.flatnonzero(opens)
+        codes, sizes = code_points(symbol)
+        ends = np.r_[0, np.cumsum(n * sizes)]
+        whole = np.repeat(codes, n) if (sizes == 1).all() else code_points(pa.array([s * k for s, k in zip(symbol.to_pylist(), n)]))[0]
+        text = whole.tobytes().decode("utf-32-le")
+        cut = [*ends[at].tolist(), len(text)]
+        yield pa.RecordBatch.from_arrays([block.take(pa.array(at)), pa.array(start[at]), pa.array(
+            [text[a:b] for a, b in zip(cut, cut[1:])], pa.string())], names=["block_id", "start_pos", "s"])
+
+
 def decode_text(runs: DataFrame) -> DataFrame:
-    """O25 text form: ``(block_id, text)``; one block per group (bounded)."""
-    return (runs.groupBy("block_id")
-            .agg(F.sort_array(F.collect_list(F.struct("start_pos", F.repeat("symbol", F.col("run_len").cast("int")).alias("s"))))
-                 .alias("_r"))
+    """O25 text form: ``(block_id, text)``; one block per group (bounded).  Runs that
+    follow each other where they are read are joined there, so texts are shuffled
+    and no runs."""
+    src = runs.select("block_id", "symbol", F.col("start_pos").cast("long").alias("start_pos"), F.col("run_len").cast("long").alias("run_len"))
+    schema = T.StructType([src.schema["block_id"], T.StructField("start_pos", T.LongType()), T.StructField("s", T.StringType())])
+    return (src.mapInArrow(_pieces_of, schema).groupBy("block_id")
+            .agg(F.sort_array(F.collect_list(F.struct("start_pos", "s"))).alias("_r"))
             .select("block_id", F.array_join(F.transform("_r", lambda x: x["s"]), "").alias("text")))
 
 
@@ -143,7 +192,8 @@ def symbol_at(runs: DataFrame, positions: DataFrame) -> DataFrame:
     q = positions.select("block_id", F.col("pos").cast("long").alias("pos"),
                          F.floor(F.col("pos") / CHUNK).cast("long").alias("chunk_no"))
     pieces = chunk_pieces(runs).withColumnRenamed("start_pos", "_a").withColumnRenamed("end_pos", "_b")
-    return (q.join(pieces, ["block_id", "chunk_no"])
+    # Spark takes exploded rows for as few as the file's: neither side may be broadcast
+    return (q.join(pieces.hint("merge"), ["block_id", "chunk_no"])
             .filter((F.col("pos") >= F.col("_a")) & (F.col("pos") < F.col("_b")))
             .select("block_id", "pos", "symbol"))
 
@@ -158,13 +208,14 @@ def rank_at(runs: DataFrame, checkpoints: DataFrame, queries: DataFrame,
     """
     q = queries.select("block_id", "pos", "symbol",
                        F.floor(F.greatest(F.col("pos"), F.lit(0)) / chunk).cast("long").alias("chunk_no"))
-    base = q.join(checkpoints, ["block_id", "chunk_no", "symbol"], "left")
+    # as in symbol_at, no side may be broadcast
+    base = q.join(checkpoints.hint("merge"), ["block_id", "chunk_no", "symbol"], "left")
     pieces = chunk_pieces(runs, chunk).withColumnRenamed("start_pos", "_a").withColumnRenamed("end_pos", "_b")
-    part = (q.distinct().join(pieces, ["block_id", "chunk_no", "symbol"])  # a query may be asked twice
+    part = (q.distinct().join(pieces.hint("merge"), ["block_id", "chunk_no", "symbol"])  # a query may be asked twice
             .filter(F.col("_a") <= F.col("pos"))
             .groupBy("block_id", "pos", "symbol")
             .agg(F.sum(F.least(F.col("_b"), F.col("pos") + 1) - F.col("_a")).alias("_in")))
-    out = base.join(part, ["block_id", "pos", "symbol"], "left")
+    out = base.join(part.hint("merge"), ["block_id", "pos", "symbol"], "left")
     occ = F.when(F.col("pos") < 0, F.lit(0)).otherwise(
         F.coalesce(F.col("cnt_before"), F.lit(0)) + F.coalesce(F.col("_in"), F.lit(0)))
     return out.select("block_id", "pos", "symbol", occ.cast("long").alias("occ"))

@@ -1,7 +1,9 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from lastcol.operators import runs
 from lastcol.operators.runs import (block_checkpoints, compressed_size, decode_text, rank_at,
                                     run_length_encode, symbol_at, symbol_histogram, symbols,
                                     text_runs)
@@ -94,3 +96,38 @@ def test_histogram_checkpoints_rank_and_access(spark):
     assert all(at[(b, i)] == c for b, t in enumerate(texts) for i, c in enumerate(t))
     neg = spark.createDataFrame([(0, -1, "a")], "block_id long, pos long, symbol string")
     assert rank_at(runs, cps, neg, chunk=4).first().occ == 0
+
+
+@pytest.mark.parametrize("name", ["rank_at", "symbol_at"])
+def test_exploded_rows_are_not_broadcast(spark, name):
+    import __spark_entry__ as entry
+    plan = entry.queries()[name](spark, entry.SF0001)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_runs_of_odd_texts_in_batches(monkeypatch):
+    import pyarrow as pa
+    from itertools import groupby
+    texts = ["a", "aa", "a\0\0b", "\U0001f600\U0001f600é́é", "x" * 50, "aab" * 20, "b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(90, 90 + len(texts)), pa.int64()), pa.array(texts)], names=["block_id", "text"])
+    monkeypatch.setattr(runs, "_ROWS", 7)
+    monkeypatch.setattr(runs.slices, "__defaults__", (8,))
+    got = [tuple(r.values()) for b in runs._runs_of(iter([batch.slice(1), batch.slice(0, 1)])) for r in b.to_pylist()]
+    want = []
+    for i in [*range(1, len(texts)), 0]:
+        at = 0
+        for k, (c, g) in enumerate(groupby(texts[i])):
+            n = len(list(g))
+            want.append((90 + i, k, c, at, n))
+            at += n
+    assert got == want
+
+
+def test_runs_that_follow_each_other_are_joined_before_they_are_grouped(spark):
+    import pyarrow as pa
+    rows = [(1, "a", 0, 2), (1, "é", 2, 3), (2, "a", 5, 1), (1, "b", 5, 1), (1, "c", 7, 1), (2, "x", 0, 5)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["block_id", "symbol", "start_pos", "run_len"])
+    got = [tuple(r.values()) for b in runs._pieces_of(iter([batch])) for r in b.to_pylist()]
+    assert got == [(1, 0, "aaééé"), (2, 5, "a"), (1, 5, "b"), (1, 7, "c"), (2, 0, "xxxxx")]
+    df = spark.createDataFrame([r for r in rows if r[2:] != (7, 1)], "block_id long, symbol string, start_pos long, run_len long")
+    assert sorted(map(tuple, runs.decode_text(df).collect())) == [(1, "aaééé" + "b"), (2, "xxxxxa")]
