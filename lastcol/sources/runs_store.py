@@ -33,11 +33,11 @@ def compress(records: DataFrame, path: str, block_size: int = BLOCK_SIZE) -> Non
     block) and the ids themselves, so that empty and null texts come back."""
     spark = records.sparkSession
     blocks = make_blocks(records, block_size=block_size)
-    bwt(blocks.select("block_id", "text")).write.parquet(f"{path}/transform")
+    (bwt(blocks.select("block_id", "text")).sortWithinPartitions("block_id").write.parquet(f"{path}/transform"))
     done = spark.read.parquet(f"{path}/transform")
-    write_runs(text_runs(done, "bwt_text"), f"{path}/runs")
-    (done.select("block_id", "start_rank", "period").repartition("block_id").sortWithinPartitions("block_id")
-     .write.parquet(f"{path}/blocks"))
+    # the transform lies in block order, and runs follow their block: none is moved or sorted
+    text_runs(done, "bwt_text").select(*RUNS.fieldNames()).write.mode("overwrite").parquet(f"{path}/runs")
+    done.select("block_id", "start_rank", "period").write.parquet(f"{path}/blocks")
     records.select("record_id", F.length("content").alias("n_chars")).write.parquet(f"{path}/records")
 
 
