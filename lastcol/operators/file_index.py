@@ -7,9 +7,10 @@ segment speaks for which file.  Rows of files that are gone, or that a later
 segment holds anew, stay on disk but count no more, until segments are merged
 (from the index's own rows: no source file is read for that).
 
-A segment has ``records`` ``(row_no, record_id, file, content)`` and ``postings``
-``(gram, row_no, pos)``: every position of every record with the three characters that
-begin there (fewer at a record's end), range-partitioned and sorted by gram.  A pattern is covered by grams at known offsets, so
+A segment has ``records`` ``(row_no, record_id, file, content)`` and ``lists``
+``(gram, rows, at)``: for some megabytes of text, the three characters that begin at a
+position (fewer at a record's end) with the row and the position of all of them, sorted
+by gram and written where the texts were read, in short pages.  A pattern is covered by grams at known offsets, so
 joining their postings by aligned position gives exact matches without
 a look at a text; a pattern of one or two characters is a prefix of grams.
 
@@ -20,19 +21,30 @@ can hold a pattern before any is opened.
 from __future__ import annotations
 
 import json
+import sys
 import uuid
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastcol.functions import chars, pattern_grams
+from lastcol.functions.arrow import code_points, gathered, gram_keys, grams_of
 from lastcol.functions.text import escaped_path, file_name
 from lastcol.operators.search import _check, keyword_search
 from lastcol.session import spread
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 GRAM = 3
+#: Bytes of text whose grams share lists, and rows of a page of the stored lists.
+LIST_BYTES = 1 << 22
+PAGE_ROWS = 256
 #: Segments of an index before they are merged into one.
 MERGE_AT = 8
 #: Rows of a file list that may be broadcast.
@@ -108,18 +120,32 @@ class FileIndex:
 
     @property
     def postings(self) -> DataFrame:
-        return self._table("postings", "segment string, gram string, row_no long, pos int")
-
-
-def positional_postings(rows: DataFrame) -> DataFrame:
-    """``(gram, row_no, pos)`` of ``rows(row_no, content)``: the characters from each
-    1-based position on, three of them or what is left."""
-    gram = F.transform(F.sequence(F.lit(0), F.size("_c") - 1), lambda i: F.concat(
-        *[F.coalesce(F.get("_c", i + k), F.lit("")) for k in range(GRAM)]))
-    return (spread(rows.filter(F.length("content") > 0).select("row_no", "content"))
-            .select("row_no", chars("content").alias("_c"))
-            .select("row_no", F.posexplode_outer(gram).alias("pos", "gram"))
-            .select("gram", "row_no", (F.col("pos") + 1).cast("int").alias("pos")))
+        """``(segment, gram, row_no, pos)``"""
+        lists = self._table("lists", "segment string, gram string, rows array<long>, at array<int>")
+        return lists.select("segment", "gram", F.explode(F.arrays_zip("rows", "at")).alias("_e")).select(
+            "segment", "gram", F.col("_e.rows").alias("row_no"), F.col("_e.at").alias("pos"))
+
+
+def _lists_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in gathered(batches, 1, LIST_BYTES):
+        codes, sizes = code_points(part.column(1))
+        keys = gram_keys(codes, sizes, GRAM)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        begun = np.cumsum(sizes) - sizes
+        row = np.repeat(np.arange(len(sizes)), sizes)[order]
+        at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        cut = pa.array(np.r_[at, len(keys)], pa.int32())
+        yield pa.RecordBatch.from_arrays([
+            grams_of(keys[at], GRAM), pa.ListArray.from_arrays(cut, part.column(0).take(pa.array(row))),
+            pa.ListArray.from_arrays(cut, pa.array(order - begun[row] + 1, pa.int32()))], names=["gram", "rows", "at"])
+
+
+def positional_lists(rows: DataFrame) -> DataFrame:
+    """``(gram, rows, at)`` of ``rows(row_no, content)``: for some megabytes of text, the
+    characters from each 1-based position on, three of them or what is left, with row and position."""
+    src = spread(rows.filter(F.length("content") > 0).select("row_no", "content"))
+    return src.mapInArrow(_lists_of, "gram string, rows array<long>, at array<int>")
 
 
 def _write_segment(records: DataFrame, path: str) -> str:
@@ -130,8 +156,8 @@ def _write_segment(records: DataFrame, path: str) -> str:
     (records.repartitionByRange("file", "record_id").sortWithinPartitions("file", "record_id")
      .select(seg, F.monotonically_increasing_id().alias("row_no"), "record_id", "file", "content").write.parquet(f"{base}/records"))
     own = spark.read.schema("row_no long, content string").parquet(f"{base}/records")
-    (positional_postings(own).repartitionByRange("gram", "row_no").sortWithinPartitions("gram", "row_no", "pos")
-     .select(seg, "gram", "row_no", "pos").write.parquet(f"{base}/postings"))
+    (positional_lists(own).select(seg, "gram", "rows", "at")
+     .write.option("parquet.page.row.count.limit", PAGE_ROWS).parquet(f"{base}/lists"))
     return name
 
 

@@ -132,3 +132,14 @@ def test_index_of_one_view_is_not_taken_for_another(spark, tmp_path, change):
         assert sorted(map(tuple, ix.indexed_search(index, p).collect())) == sorted(map(tuple, se.keyword_search(views[change], p).collect()))
     _, kept = ix.ensure_index(views[change], str(tmp_path / "idx"))
     assert not kept
+
+
+def test_positions_are_listed_by_part_and_not_shuffled(spark, monkeypatch):
+    import pyarrow as pa
+    texts = [t for _, t, _ in rows(7, 0, 60) if t]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["row_no", "content"])
+    monkeypatch.setattr(fi, "LIST_BYTES", 200)
+    got = [(g["gram"], r, p) for b in fi._lists_of(iter([batch])) for g in b.to_pylist() for r, p in zip(g["rows"], g["at"], strict=True)]
+    assert sorted(got) == sorted((t[k:k + 3], i, k + 1) for i, t in enumerate(texts) for k in range(len(t)))
+    df = spark.createDataFrame(list(enumerate(texts)), "row_no long, content string")
+    assert "rangepartitioning" not in fi.positional_lists(df)._jdf.queryExecution().executedPlan().toString()
