@@ -3,7 +3,7 @@ import random
 import pytest
 
 from lastcol.operators.runs import rank_at, run_length_encode, text_runs
-from lastcol.plans.segments import floor_join
+from lastcol.plans.segments import floor_join, ordered_runs
 
 BIG = 2**53
 
@@ -74,3 +74,27 @@ def test_rank_of_a_repeated_query(spark):
     runs = text_runs(spark.createDataFrame([(1, "banana")], "block_id long, text string"))
     q = spark.createDataFrame([(1, 5, "a"), (1, 5, "a")], "block_id long, pos long, symbol string")
     assert [r.occ for r in rank_at(runs, block_checkpoints(runs, 4), q, 4).collect()] == [3, 3]
+
+
+def test_runs_are_stored_and_rows_shuffled_once(spark):
+    """Runs that go over Arrow batches and slices; nothing but runs is stored or grouped by slice."""
+    rows = [(i, "hot" if i % 4 else None, [1.0, float("nan"), None][(i // 11) % 3], {"a": float("nan") if (i // 9) % 2 else 1.0})
+            for i in range(500)]
+    df = spark.createDataFrame(rows, "i long, k string, v double, s struct<a: double>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for value in ("v", "s"):
+            out = ordered_runs(df, ["k"], ["i"], value, partitions=5)
+            assert "row_number" not in out._jdf.queryExecution().optimizedPlan().toString()
+            want, last = {}, {}
+            for r in sorted(rows, key=lambda r: r[0]):
+                mine = str(r[2] if value == "v" else r[3]["a"])
+                if last.get(r[1]) == mine:
+                    want[r[1]][-1][1] += 1
+                else:
+                    want.setdefault(r[1], []).append([r[0], 1])
+                last[r[1]] = mine
+            got = {(r.k, r.run_no): [r.start, r.run_len] for r in out.collect()}
+            assert got == {(k, n): run for k, runs in want.items() for n, run in enumerate(runs)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
