@@ -1,8 +1,8 @@
 """Sorted cyclic rotations, Burrows-Wheeler transform and its inverse.
 
 Each block (a short text, or a slice of a long one) is one row.  Rows travel in
-Arrow batches; inside a task each block's rotations are ranked by prefix
-doubling (Manber & Myers, 1990) on NumPy integer arrays, until all are distinct
+Arrow batches; inside a task the rotations of a few blocks at a time are ranked by
+prefix doubling (Manber & Myers, 1990) on NumPy integer arrays, until all are distinct
 or whole rotations have been compared.  Work per row is bounded by the block's
 own length, with no shuffle but the one that spreads blocks over tasks.  A row
 cannot hold a group larger than one block, so a skewed corpus only changes how
@@ -15,10 +15,12 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lastcol.functions.arrow import code_points, slices, texts_of
 from lastcol.session import spread
 
 # The block functions run in Python workers: shipped by value, so that
@@ -28,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Characters per block unless a caller says otherwise.
 BLOCK_SIZE = 4096
 _SLICE_BITS = 16
+# Bytes of text whose blocks are ranked together.
+_BYTES = 1 << 14
 
 
 def make_blocks(df: DataFrame, id_col: str = "record_id", text_col: str = "content",
@@ -55,38 +59,77 @@ def _symbols(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
 
 
-def _dense(sorted_keys: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Rank of each position: how many smaller keys there are."""
-    first = np.flatnonzero(np.r_[True, sorted_keys[1:] != sorted_keys[:-1]])
-    out = np.empty(len(order), np.int64)
-    out[order] = np.repeat(first, np.diff(np.r_[first, len(order)]))
-    return out
+def _starts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted keys: where the run of equal ones begins that each belongs to, and
+    whether it is the first of it."""
+    new = np.r_[True, keys[1:] != keys[:-1]]
+    return np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0)), new
+
+
+def ranks_of(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Rank of the rotation that starts at each position of each text, the texts
+    (none empty) end to end; equal rotations share one.
+
+    Rotations are ranked by their first symbols, as many as an integer holds beside
+    the text's number, then by their rank and that of the position as far ahead as
+    is compared already.  Only what is still tied is sorted again.
+    """
+    total, ends = len(codes), np.cumsum(sizes)
+    base, n = np.repeat(ends - sizes, sizes), np.repeat(sizes, sizes)
+    used, dense = np.unique(codes, return_inverse=True)
+    bits = max(1, int(len(used) - 1).bit_length())
+    width = max(1, (63 - int(len(sizes)).bit_length()) // bits)
+    here = np.arange(total) - base
+    key = np.repeat(np.arange(len(sizes)), sizes)
+    for j in range(width):
+        key = (key << bits) | dense[base + (here + j) % n]
+    order = np.argsort(key)
+    first, new = _starts(key[order])
+    rank = np.empty(total, np.int64)  # among all texts; a text's are those from its base
+    rank[order] = first
+    left = order[~new | ~np.r_[new[1:], True]]
+    h = width
+    left = left[n[left] > h]
+    while len(left):
+        key = rank[left] * (total + 1) + rank[base[left] + (here[left] + h) % n[left]]
+        by = np.argsort(key)
+        left, key = left[by], key[by]
+        first, new = _starts(key)
+        own = rank[left]
+        group, _ = _starts(own)
+        rank[left] = own + first - group
+        h *= 2
+        left = left[(~new | ~np.r_[new[1:], True]) & (n[left] > h)]
+    return rank - base
 
 
 def rotation_ranks(text: str) -> np.ndarray:
     """Rank of the rotation that starts at each position (equal rotations share
     one)."""
     sym = _symbols(text)
-    n, h = len(sym), 1
-    # first key: three symbols, 21 bits each
-    key = (sym << 42) | (np.roll(sym, -1) << 21) | np.roll(sym, -2) if n > 2 else sym
-    h = 3 if n > 2 else 1
-    order = np.argsort(key, kind="stable")
-    rank = _dense(key[order], order)
-    while h < n and len(np.unique(rank)) < n:
-        key = rank * (n + 1) + np.roll(rank, -h % n if n else 0)
-        order = np.argsort(key, kind="stable")
-        rank = _dense(key[order], order)
-        h *= 2
-    return rank
+    return ranks_of(sym, np.array([len(sym)]))
+
+
+def transform_blocks(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts (none empty) end to end: the symbols of their transforms, the place of
+    rotation 0, and the number of distinct rotations; ties by position."""
+    rank, ends = ranks_of(codes, sizes), np.cumsum(sizes)
+    start = ends - sizes
+    base, n = np.repeat(start, sizes), np.repeat(sizes, sizes)
+    here = np.arange(len(codes)) - base
+    # equal rotations are a period apart
+    copies = np.add.reduceat(rank == np.repeat(rank[start], sizes), start, dtype=np.int64)
+    period = sizes // copies
+    order = np.empty(len(codes), np.int64)
+    order[base + rank + here // np.repeat(period, sizes)] = here
+    return codes[base + (order - 1) % n], rank[start], period
 
 
 def transform_block(text: str) -> tuple[str, int, int]:
     """``(bwt_text, start_rank, period)`` of one block; ties by position."""
-    rank = rotation_ranks(text)
-    order = np.argsort(rank, kind="stable")
-    out = np.array(list(text), dtype=object)[(order - 1) % len(order)]
-    return "".join(out), int(np.flatnonzero(order == 0)[0]), len(np.unique(rank))
+    sym = _symbols(text)
+    out, start, period = transform_blocks(sym, np.array([len(sym)]))
+    return out.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass"), int(start[0]), int(period[0])
 
 
 def restore_block(bwt_text: str, start_rank: int, period: int) -> str:
@@ -116,13 +159,16 @@ def _spread_blocks(blocks: DataFrame) -> DataFrame:
 def rotation_rank(blocks: DataFrame) -> DataFrame:
     """``(block_id, pos, symbol, rank)``; rank = number of smaller rotations
     (equal rotations of a periodic block share a rank)."""
-    def run(frames):
-        for pdf in frames:
-            for block, text in zip(pdf["block_id"], pdf["text"], strict=True):
-                yield pd.DataFrame({"block_id": block, "pos": np.arange(len(text)), "symbol": list(text),
-                                    "rank": rotation_ranks(text)})
-    src = blocks.select("block_id", "text").filter(F.length("text") > 0)
-    return _spread_blocks(src).mapInPandas(run, "block_id long, pos long, symbol string, rank long")
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 1, _BYTES):
+                codes, sizes = code_points(part.column(1))
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(row)), pa.array(np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)),
+                     texts_of(codes), pa.array(ranks_of(codes, sizes))], names=["block_id", "pos", "symbol", "rank"])
+    src = blocks.select(F.col("block_id").cast("long").alias("block_id"), "text").filter(F.length("text") > 0)
+    return _spread_blocks(src).mapInArrow(run, "block_id long, pos long, symbol string, rank long")
 
 
 def bwt(blocks: DataFrame) -> DataFrame:
@@ -133,13 +179,16 @@ def bwt(blocks: DataFrame) -> DataFrame:
     ``period`` is the number of distinct rotations.  Empty and null texts give
     no row.
     """
-    def run(frames):
-        for pdf in frames:
-            rows = [transform_block(t) for t in pdf["text"]]
-            yield pd.DataFrame({"block_id": pdf["block_id"], "bwt_text": [r[0] for r in rows],
-                                "start_rank": [r[1] for r in rows], "period": [r[2] for r in rows]})
-    src = blocks.select("block_id", "text").filter(F.length("text") > 0)
-    return _spread_blocks(src).mapInPandas(run, "block_id long, bwt_text string, start_rank long, period long")
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 1, _BYTES):
+                codes, sizes = code_points(part.column(1))
+                out, start, period = transform_blocks(codes, sizes)
+                whole, cut = out.astype(np.uint32).tobytes().decode("utf-32-le"), [0, *np.cumsum(sizes).tolist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([whole[a:b] for a, b in zip(cut, cut[1:])], pa.string()),
+                                                  pa.array(start), pa.array(period)], names=["block_id", "bwt_text", "start_rank", "period"])
+    src = blocks.select(F.col("block_id").cast("long").alias("block_id"), "text").filter(F.length("text") > 0)
+    return _spread_blocks(src).mapInArrow(run, "block_id long, bwt_text string, start_rank long, period long")
 
 
 def inverse_bwt(bwt_df: DataFrame) -> DataFrame:

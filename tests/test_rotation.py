@@ -1,7 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
+from lastcol.operators import rotation as rot
 from lastcol.operators.rotation import bwt, inverse_bwt, make_blocks, rotation_rank
 
 SAMPLE_BWT = "agsan1[[1[[]]]]nngy1890ttDdr  nnttrdineB   xstooiooiiiIcCiimmgpetrseuaanuasdper"
@@ -89,3 +91,19 @@ def test_restore_every_start():
     from lastcol.operators.rotation import restore_block, transform_block
     for t in ["a", "ab", "aa", "abcabc", "mississippi", "\U0001F600é" * 5 + "x"]:
         assert transform_block(t) == _brute(t) and restore_block(*transform_block(t)) == t
+
+
+def test_texts_ranked_together_equal_texts_ranked_alone():
+    """Rotations of several texts at a time; equal rotations share a rank, none is compared with another text's."""
+    texts = ["banana", "x", "abab" * 5, "banana", "é\U0001F600a" * 3, "mississippi" * 9, "aaaa"]
+    codes = np.concatenate([np.array([ord(c) for c in t]) for t in texts])
+    sizes = np.array([len(t) for t in texts])
+    want = []
+    for t in texts:
+        rots = [t[i:] + t[:i] for i in range(len(t))]
+        want += [sorted(rots).index(r) for r in rots]
+    assert rot.ranks_of(codes, sizes).tolist() == want
+    out, start, period = rot.transform_blocks(codes, sizes)
+    assert [("".join(map(chr, part)), int(s), int(p)) for part, s, p in zip(np.split(out, np.cumsum(sizes)[:-1]), start, period)] == [
+        rot.transform_block(t) for t in texts]
+    assert [rot.restore_block(*rot.transform_block(t)) for t in texts] == texts
