@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from lastcol.functions import chars, encoded_run_bytes
 from lastcol.functions.arrow import code_points, slices, texts_of
-from lastcol.plans.segments import ordered_runs
+from lastcol.plans.segments import differs, ordered_runs
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -127,10 +127,10 @@ def decode_text(runs: DataFrame) -> DataFrame:
 def compressed_size(runs: DataFrame) -> DataFrame:
     """Per block and (``block_id`` null) for all blocks: characters,
     runs, encoded bytes and bytes per character."""
-    agg = (runs.rollup("block_id")
-           .agg(F.sum("run_len").cast("long").alias("n_chars"),
-                F.count(F.lit(1)).alias("n_runs"),
-                F.sum(encoded_run_bytes("run_len")).cast("long").alias("encoded_bytes")))
+    # a row per block is added up for the whole, not every run twice
+    each = runs.groupBy("block_id").agg(F.sum("run_len").alias("n_chars"), F.count(F.lit(1)).alias("n_runs"),
+                                        F.sum(encoded_run_bytes("run_len")).alias("encoded_bytes"))
+    agg = each.rollup("block_id").agg(*[F.sum(c).cast("long").alias(c) for c in ("n_chars", "n_runs", "encoded_bytes")])
     return agg.withColumn("ratio", F.col("encoded_bytes").cast("double") / F.col("n_chars").cast("double"))
 
 
@@ -163,24 +163,91 @@ def chunk_pieces(runs: DataFrame, chunk: int = CHUNK) -> DataFrame:
                       lo.cast("long").alias("start_pos"), hi.cast("long").alias("end_pos"))
 
 
+def _counts_of(chunk: int):
+    """One row for the runs that follow each other of one block: how often each symbol
+    stands in each chunk."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            opens = differs(batch.column(0), None)
+            part, kinds = np.cumsum(opens) - 1, batch.column(1).dictionary_encode(null_encoding="encode")
+            start, n = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            first = start // chunk
+            times = (start + n - 1) // chunk - first + 1  # chunks that a run touches
+            row = np.repeat(np.arange(len(start)), times)
+            no = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+            size = np.minimum(start[row] + n[row], (no + 1) * chunk) - np.maximum(start[row], no * chunk)
+            code = kinds.indices.to_numpy().astype(np.int64)[row]
+            by = np.lexsort((no, code, part[row]))
+            key = np.stack([part[row], code, no])[:, by]
+            at = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(0)])
+            ends = pa.array(np.searchsorted(key[0, at], np.arange(int(part[-1]) + 2)).astype(np.int32))
+            cols = [kinds.dictionary.take(pa.array(key[1, at])), pa.array(key[2, at]), pa.array(np.add.reduceat(size[by], at))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.flatnonzero(opens))),
+                                              *[pa.ListArray.from_arrays(ends, c) for c in cols]], names=["block_id", "symbol", "chunk_no", "n"])
+    return run
+
+
+def _dense(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Whole blocks, each in rows of :func:`_counts_of` beside each other: counts before each chunk."""
+    opens = differs(rows.column(0), None)
+    per_row = rows.column(2).value_lengths().to_numpy()
+    block = np.repeat(np.cumsum(opens) - 1, per_row)
+    kinds = rows.column(1).flatten().dictionary_encode(null_encoding="encode")
+    no, n = (rows.column(i).flatten().to_numpy() for i in (2, 3))
+    code = block * len(kinds.dictionary) + kinds.indices.to_numpy().astype(np.int64)
+    pair, at = np.unique(code, return_inverse=True)
+    last = np.zeros(int(opens.sum()), np.int64)
+    np.maximum.at(last, block, no)
+    size = last[pair // len(kinds.dictionary)] + 1
+    begin = np.cumsum(size) - size
+    counts = np.zeros(int(size.sum()), np.int64)
+    np.add.at(counts, begin[at] + no, n)
+    before = np.cumsum(counts) - counts
+    owner = np.repeat(np.arange(len(pair)), size)
+    blocks, chunk_no, before = rows.column(0).take(pa.array(np.flatnonzero(opens))), np.arange(len(owner)) - begin[owner], before - before[begin][owner]
+    for i in range(0, len(owner), _ROWS):
+        own = pair[owner[i:i + _ROWS]]
+        yield pa.RecordBatch.from_arrays(
+            [blocks.take(pa.array(own // len(kinds.dictionary))), pa.array(chunk_no[i:i + _ROWS]),
+             kinds.dictionary.take(pa.array(own % len(kinds.dictionary))), pa.array(before[i:i + _ROWS])],
+            names=["block_id", "chunk_no", "symbol", "cnt_before"])
+
+
+def _dense_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []  # the last block, which may go on
+
+    def one() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    for batch in batches:
+        for i in range(0, batch.num_rows, 1024):
+            part = batch.slice(i, 1024)
+            opens = np.flatnonzero(differs(part.column(0), held[-1].column(0).slice(held[-1].num_rows - 1) if held else None))
+            if held and len(opens):
+                held.append(part.slice(0, int(opens[0])))
+                yield from _dense(one())
+                held = []
+            if len(opens) > 1:
+                yield from _dense(part.slice(int(opens[0]), int(opens[-1] - opens[0])))
+            held.append(part.slice(int(opens[-1])) if len(opens) else part)
+    if held:
+        yield from _dense(one())
+
+
 def block_checkpoints(runs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """``(block_id, chunk_no, symbol, cnt_before)``: occurrences of each
     symbol of the block in positions ``[0, chunk_no * chunk)``; dense over
-    the block's chunks and symbols (both bounded by the block size)."""
-    per_chunk = (chunk_pieces(runs, chunk).groupBy("block_id", "chunk_no", "symbol")
-                 .agg(F.sum(F.col("end_pos") - F.col("start_pos")).cast("long").alias("n")))
-    # One row per (block, symbol) with its chunks' counts in order (at most
-    # block/chunk entries), expanded into dense prefix counts by one running sum.
-    last = per_chunk.withColumn("_last", F.max("chunk_no").over(Window.partitionBy("block_id")))
-    per_symbol = (last.groupBy("block_id", "symbol")
-                  .agg(F.max("_last").alias("_last"),
-                       F.map_from_entries(F.collect_list(F.struct("chunk_no", "n"))).alias("_m")))
-    each = per_symbol.select("block_id", "symbol", "_m", F.explode(
-        F.sequence(F.lit(0).cast("long"), F.col("_last"))).alias("chunk_no"))
-    before = Window.partitionBy("block_id", "symbol").orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, -1)
-    n = F.coalesce(F.try_element_at("_m", F.col("chunk_no")), F.lit(0).cast("long"))
-    return each.select("block_id", "chunk_no", "symbol", n.alias("_n")).select(
-        "block_id", "chunk_no", "symbol", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("cnt_before"))
+    the block's chunks and symbols (both bounded by the block size).
+
+    Runs that follow each other where they are read are counted there; one row for
+    all of a block's is shuffled, and the blocks are made dense in Arrow batches."""
+    src = runs.select("block_id", "symbol", F.col("start_pos").cast("long").alias("start_pos"), F.col("run_len").cast("long").alias("run_len"))
+    block, symbol, long = src.schema["block_id"], src.schema["symbol"].dataType, T.LongType()
+    counted = src.mapInArrow(_counts_of(chunk), T.StructType([
+        block, *[T.StructField(c, T.ArrayType(t)) for c, t in (("symbol", symbol), ("chunk_no", long), ("n", long))]]))
+    return (counted.repartition("block_id").sortWithinPartitions("block_id").mapInArrow(_dense_of, T.StructType([
+        block, T.StructField("chunk_no", long), T.StructField("symbol", symbol), T.StructField("cnt_before", long)])))
 
 
 def symbol_at(runs: DataFrame, positions: DataFrame) -> DataFrame:

@@ -131,3 +131,20 @@ def test_runs_that_follow_each_other_are_joined_before_they_are_grouped(spark):
     assert got == [(1, 0, "aaééé"), (2, 5, "a"), (1, 5, "b"), (1, 7, "c"), (2, 0, "xxxxx")]
     df = spark.createDataFrame([r for r in rows if r[2:] != (7, 1)], "block_id long, symbol string, start_pos long, run_len long")
     assert sorted(map(tuple, runs.decode_text(df).collect())) == [(1, "aaééé" + "b"), (2, "xxxxxa")]
+
+
+def test_checkpoints_of_runs_in_any_order_are_shuffled_as_blocks(spark):
+    """Runs of a block dealt over partitions and batches; one row per block is shuffled, and no window is left."""
+    texts = {i: "".join("aéb\n"[(i * j * j + j // 7) % 4] for j in range(i * 13 % 90 + 1)) for i in range(60)}
+    runs = text_runs(spark.createDataFrame(list(texts.items()), "block_id long, text string"))
+    want = {(b, c, s): t[:c * 8].count(s) for b, t in texts.items() for s in set(t) for c in range((len(t) - 1) // 8 + 1)}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        for dealt in (runs, runs.repartition(7)):
+            out = block_checkpoints(dealt, 8)
+            rows = out.collect()
+            assert {(r.block_id, r.chunk_no, r.symbol): r.cnt_before for r in rows} == want and len(rows) == len(want)
+            plan = out._jdf.queryExecution().optimizedPlan().toString()
+            assert "Window" not in plan and "Aggregate" not in plan
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
