@@ -4,13 +4,14 @@ Two documents link when the Jaccard index of their sets of word shingles is at
 least 4/5.  Sorted by any global order, two such sets share a token among their
 first ``n - ceil(0.8 n) + 1``.  This holds for every order, so a candidate must
 share a prefix token under each of ORDERS orders.  All orders put rare tokens
-first (by the class of a count sketch over all documents) and break ties by
-their own hash.
+first (by a count sketch of their own over all documents, in classes of half a
+counter's spread) and break ties by their own hash.
 
 1. One pass over the texts gives each document its set's size, fingerprint and
    parity bitmap, and the count sketch.  Documents with equal sets are one node
    from here on.
-2. A second pass emits the prefix postings (token, node) of each order.  Tokens
+2. A second pass emits the prefix postings (token, node) of each order, packed
+   by range of tokens; a range is sorted where it is read.  Tokens
    shared by few nodes list their pairs, if size and position allow a link;
    pairs listed by every order stay.  A token shared by more than GROUP nodes
    lists none: its nodes are tied to one of them, which is linear.
@@ -38,13 +39,18 @@ from .common import NO_ID, connected_components, null_id, plain_id, stored
 from .shingles import mix64, shingle_sets
 
 ORDERS = 2
-SKETCH_BITS = 18
+#: Counters of an order's sketch: what a counter holds by chance grows with the corpus,
+#: and with it the number of nodes from which a token is known to be frequent.
+SKETCH_BITS = 21
 #: Counters in one row of the sketch.
-SKETCH_BLOCK = 1 << 14
+SKETCH_BLOCK = 1 << 18
 #: Nodes that share a token and still list their pairs.
 GROUP = 64
 #: Tokens in a cell of a family.
 CELL_TOKENS = 400_000
+#: Postings of a range of tokens, which one task holds at a time, and the number that
+#: is left together if there are fewer ranges than tasks; rows that are looked at at once.
+RANGE_POSTINGS, LEAST_POSTINGS, PIECE = 8_000_000, 400_000, 1 << 18
 #: Documents shingled at a time, and the characters that end a batch early.
 BATCH, BATCH_CHARS = 1000, 4_000_000
 #: Broadcast the families' ids up to this many; joined by id beyond.
@@ -94,44 +100,59 @@ def least_difference(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def _counter(h: np.ndarray, order: int) -> np.ndarray:
+    """Place of a token's counter among those of all orders."""
+    return ((h >> _U(SKETCH_BITS * order)) & _MASK).astype(np.int64) + (order << SKETCH_BITS)
+
+
 def _survey(frames):
-    """Rows of nodes (part -1) and, at the end, the sketch of this task."""
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+    """Rows of nodes (part -1) and, at the end, the sketches of this task."""
+    sketch = np.zeros(ORDERS << SKETCH_BITS, np.uint32)
     for pdf in _batches(frames):
         h, offs = shingle_sets(pdf["text"].tolist())
-        sketch += np.bincount((h & _MASK).astype(np.int64), minlength=len(sketch))
+        for order in range(ORDERS):
+            np.add.at(sketch, _counter(h, order), np.uint32(1))
         maps = [bitmap(h[a:b]) for a, b in zip(offs[:-1], offs[1:], strict=True)]
         yield pd.DataFrame({"part": -1, "doc_id": pdf["doc_id"].to_numpy(), "n": np.diff(offs),
                             "fp": _fingerprints(h, offs), "bits": maps})
     parts = range(0, len(sketch), SKETCH_BLOCK)
     yield pd.DataFrame({"part": [p // SKETCH_BLOCK for p in parts], "doc_id": 0, "n": 0, "fp": 0,
-                        "bits": [zlib.compress(sketch[p:p + SKETCH_BLOCK].tobytes(), 1) for p in parts]})
+                        "bits": [_packed_counts(sketch[p:p + SKETCH_BLOCK]) for p in parts]})
+
+
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """In one byte each, if that does."""
+    return zlib.compress((counts.astype(np.uint8) if counts.max() < 256 else counts).tobytes(), 1)
 
 
 def _add(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(SKETCH_BLOCK, np.int64)
     for raw in pdf["bits"]:
-        total += np.frombuffer(zlib.decompress(raw), np.int64)
-    return pd.DataFrame({"part": [pdf["part"].iloc[0]], "bits": [total.tobytes()]})
+        raw = zlib.decompress(raw)
+        total += np.frombuffer(raw, np.uint8 if len(raw) == SKETCH_BLOCK else np.uint32)
+    # the square root of a count spreads by a half, whatever the count
+    classes = np.minimum(np.floor(4 * np.sqrt(total)), 65535).astype(np.uint16)
+    return pd.DataFrame({"part": [pdf["part"].iloc[0]], "bits": [classes.tobytes()]})
 
 
 def rarity_classes(survey: DataFrame) -> np.ndarray:
-    """Class of each counter, four to a doubling; a fixed 2**SKETCH_BITS bytes."""
+    """Class of each counter of all orders, of fixed size."""
     rows = survey.filter("part >= 0").select("part", "bits").groupBy("part").applyInPandas(
         _add, "part int, bits binary").collect()
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    classes = np.zeros(ORDERS << SKETCH_BITS, np.uint16)
     for r in rows:
-        counts[r["part"] * SKETCH_BLOCK:(r["part"] + 1) * SKETCH_BLOCK] = np.frombuffer(r["bits"], np.int64)
-    return np.floor(4 * np.log2(counts + 1.0)).astype(np.uint8)
+        classes[r["part"] * SKETCH_BLOCK:(r["part"] + 1) * SKETCH_BLOCK] = np.frombuffer(r["bits"], np.uint16)
+    return classes
 
 
 def prefix_length(n):
     return n - (4 * n + 4) // 5 + 1
 
 
-def _postings(classes: np.ndarray):
-    """Prefix postings of each distinct set of a batch, in all orders.  Within
-    a batch, a token shared by more than GROUP sets ties them (``tie``)."""
+def _postings(classes: np.ndarray, ranges: int):
+    """Prefix postings of each distinct set of a batch, in all orders, packed by
+    range of tokens (``part`` counts the ranges of all orders).  Within a batch, a
+    token shared by more than GROUP sets ties them (``kind`` 1: the pairs)."""
     def run(frames):
         for pdf in _batches(frames):
             h, offs = shingle_sets(pdf["text"].tolist())
@@ -140,35 +161,99 @@ def _postings(classes: np.ndarray):
             use = np.zeros(len(fps), bool)
             use[first] = True
             use &= n > 0
-            rare = classes[(h & _MASK).astype(np.int64)].astype(_U) << _U(56)
+            plen = np.where(use, prefix_length(n), 0)
+            total = int(plen.sum())
+            if not total:
+                continue
             for order in range(ORDERS):
-                key = rare | (mix64(h, 11 + order) >> _U(8))
-                plen = np.where(use, prefix_length(n), 0)
+                key = (classes[_counter(h, order)].astype(_U) << _U(48)) | (mix64(h, 11 + order) >> _U(16))
                 for a, b in zip(offs[:-1][use].tolist(), offs[1:][use].tolist(), strict=True):
                     key[a:b].sort()
-                total = int(plen.sum())
                 doc = np.repeat(np.arange(len(n)), plen)
                 pos = np.arange(total) - np.repeat(np.cumsum(plen) - plen, plen)
-                token = mix64(key[offs[:-1][doc] + pos], 21 + order).view(np.int64)
+                token = mix64(key[offs[:-1][doc] + pos], 21 + order)
                 by = np.argsort(token, kind="stable")
                 token, doc, pos = token[by], doc[by], pos[by]
-                starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if total else np.empty(0, np.int64)
+                starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
                 size = np.diff(np.r_[starts, total])
                 hot = np.repeat(size > GROUP, size)
                 lead = np.repeat(starts, size)
                 tied = hot & (np.arange(total) != lead)
-                keep = ~tied
-                yield pd.DataFrame({"token": token[keep], "fp": fps[doc[keep]],
-                                    "np": (n[doc[keep]] << 32) | pos[keep],
-                                    "ord": np.int8(order), "mark": hot[keep].astype(np.int8)})
                 if tied.any():
-                    a, b = fps[doc[tied]], fps[doc[lead[tied]]]
-                    pair = np.unique(np.stack([a, b], 1), axis=0)
-                    yield pd.DataFrame({"token": pair[:, 0], "fp": pair[:, 0], "np": pair[:, 1],
-                                        "ord": np.int8(0), "mark": np.int8(2)})
+                    pair = np.unique(np.stack([fps[doc[tied]], fps[doc[lead[tied]]]], 1), axis=0)
+                    yield pd.DataFrame({"part": [order * ranges], "kind": [np.int8(1)], "body": [pair.tobytes()]})
+                token, doc, pos, hot = token[~tied], doc[~tied], pos[~tied], hot[~tied]
+                part = ((token >> _U(32)) * _U(ranges)) >> _U(32)  # in the order of the tokens
+                cut = [*np.flatnonzero(np.r_[True, part[1:] != part[:-1]]).tolist(), len(part)]
+                yield pd.DataFrame({"part": [order * ranges + int(part[a]) for a in cut[:-1]], "kind": np.int8(0), "body": [
+                    _pack(token[a:b], doc[a:b], pos[a:b], hot[a:b], fps, n) for a, b in zip(cut, cut[1:])]})
     return run
 
 
+def _pack(token, doc, pos, hot, fps, n) -> bytes:
+    """Postings of one range: the nodes that occur, then the places of the postings' nodes,
+    the low halves of their tokens, their positions and marks."""
+    used, at = np.unique(doc, return_inverse=True)
+    size = n[used]
+    kind = np.uint16 if int(size.max()) < 1 << 15 else np.uint64
+    node = np.uint16 if len(used) <= 1 << 16 else np.uint32
+    head = np.array([len(used), len(token), np.dtype(kind).itemsize], np.int64)
+    return b"".join(x.tobytes() for x in (head, fps[used], size.astype(kind), at.astype(node), token.astype(np.uint32),
+                                          (pos.astype(np.int64) << 1 | hot).astype(kind)))
+
+
+def _unpack(body: bytes) -> tuple[np.ndarray, ...]:
+    """``fp, n`` of the nodes, ``node, token, pos and mark`` of the postings."""
+    nodes, rows, width = np.frombuffer(body, np.int64, 3).tolist()
+    kind, at, out = np.uint16 if width == 2 else np.uint64, 24, []
+    for dtype, count in ((np.int64, nodes), (kind, nodes), (np.uint16 if nodes <= 1 << 16 else np.uint32, rows),
+                         (np.uint32, rows), (kind, rows)):
+        out.append(np.frombuffer(body, dtype, count, at))
+        at += count * np.dtype(dtype).itemsize
+    return tuple(out)
+
+
+def _range_rows(part: int, bodies: list[bytes], ranges: int) -> Iterator[pd.DataFrame]:
+    """The postings of a range in the order of their tokens, as :func:`_pairs` takes them."""
+    fps, sizes, nodes, tokens, places, begun = [], [], [], [], [], 0
+    while bodies:
+        fp, n, node, token, pos = _unpack(bodies.pop())
+        fps.append(fp)
+        sizes.append(n.astype(np.int64))
+        nodes.append(node.astype(np.uint32) + np.uint32(begun))
+        tokens.append(token)
+        places.append(pos.astype(np.uint32))
+        begun += len(fp)
+    fp, n, node, token, pos = (np.concatenate(x) for x in (fps, sizes, nodes, tokens, places))
+    del fps, sizes, nodes, tokens, places
+    by = np.argsort(token)
+    for a in range(0, len(by), PIECE):
+        at = by[a:a + PIECE]
+        place, who = pos[at].astype(np.int64), node[at]
+        yield pd.DataFrame({"token": (part << 32) | token[at].astype(np.int64), "fp": fp[who], "np": (n[who] << 32) | (place >> 1),
+                            "ord": np.int8(part // ranges), "mark": (place & 1).astype(np.int8)})
+
+
+def _listed(ranges: int):
+    """Packed postings arrive by range; one range at a time is held."""
+    def rows(frames):
+        last, held = None, []
+        for pdf in frames:
+            for part, kind, body in zip(pdf["part"], pdf["kind"], pdf["body"], strict=True):
+                if kind:
+                    pair = np.frombuffer(body, np.int64).reshape(-1, 2)
+                    yield pd.DataFrame({"token": pair[:, 0], "fp": pair[:, 0], "np": pair[:, 1], "ord": np.int8(0), "mark": np.int8(2)})
+                    continue
+                if part != last and held:
+                    yield from _range_rows(last, held, ranges)
+                    held = []
+                last = part
+                held.append(body)
+        if held:
+            yield from _range_rows(last, held, ranges)
+    return lambda frames: _pairs(rows(frames))
+
+
 def _pairs(frames):
     """Postings arrive by order and token.  Gives the pairs of small groups
     (with their order) and the ties of large ones (order -1)."""
@@ -374,10 +459,12 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     nodes = each.filter(named & (F.col("n") > 0)).groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
                                                    F.first("bits").alias("bits"))
     classes = rarity_classes(survey)
+    count = each.agg(F.sum((F.col("n") - F.ceil(F.col("n") * 0.8)) + 1)).first()[0] or 0
+    ranges = max(1, -(-count // RANGE_POSTINGS), min(docs.sparkSession.sparkContext.defaultParallelism, count // LEAST_POSTINGS))
 
-    postings = rows.filter(named).mapInPandas(_postings(classes), "token long, fp long, np long, ord byte, mark byte")
-    listed = stored(postings.repartition("token").sortWithinPartitions("ord", "token")
-                    .mapInPandas(_pairs, "a long, b long, ord byte"), "pairs")
+    postings = rows.filter(named).mapInPandas(_postings(classes, ranges), "part int, kind byte, body binary")
+    listed = stored(postings.repartition("part").sortWithinPartitions("part")
+                    .mapInPandas(_listed(ranges), "a long, b long, ord byte"), "pairs")
     ties = listed.filter("ord = -1").select("a", "b").distinct()
     every = (listed.filter("ord >= 0").groupBy("a", "b").agg(F.bit_or(F.expr("shiftleft(1, ord)")).alias("m"))
              .filter(F.col("m") == (1 << ORDERS) - 1).select("a", "b"))

@@ -118,3 +118,38 @@ def test_pairs_of_a_group_over_many_frames_of_repeated_nodes(nodes):
             x, y = low[a], low[b]
             low = {k: min(x, y) if v in (x, y) else v for k, v in low.items()}
         assert all((a, b) in listed or low[a] == low[b] for b in low for a in range(1, b))
+
+
+def test_equals_brute_force_in_many_ranges_of_tokens(spark, monkeypatch):
+    monkeypatch.setattr(nj, "RANGE_POSTINGS", 500)
+    monkeypatch.setattr(nj, "PIECE", 100)
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in nj.ngram_components(df.repartition(5)).collect()}
+    assert got == brute(rows)
+
+
+def test_postings_are_packed():
+    """A posting takes less than 14 bytes on its way (26 and more as a row of columns)."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefghij") + str(rng.randrange(999)) for _ in range(600)) for _ in range(50)]
+    frames = iter([pd.DataFrame({"doc_id": range(50), "text": texts})])
+    classes = np.zeros(nj.ORDERS << nj.SKETCH_BITS, np.uint16)
+    found = pd.concat(nj._postings(classes, 4)(frames))
+    rows = [nj._unpack(b) for b in found.body]
+    n = sum(len(token) for *_, token, _ in rows)
+    sizes = np.diff(shingle_sets(texts)[1])
+    assert n == nj.ORDERS * nj.prefix_length(sizes).sum() and set(found.part) == set(range(8))
+    assert sum(map(len, found.body)) < 14 * n
+
+
+def test_a_shared_token_is_known_among_many():
+    """Of 2,000 tokens beside 8 million others, those that 20 nodes hold are told from
+    those that one holds (counters of the 18 bits before held some 30 by chance)."""
+    rng = np.random.default_rng(1)
+    h = rng.integers(0, 2**64, 8_000_000, np.uint64)
+    own = rng.integers(0, 2**64, 2000, np.uint64)
+    for order in range(nj.ORDERS):
+        counts = np.bincount(nj._counter(np.r_[h, np.repeat(own[:1000], 20), own[1000:]], order), minlength=nj.ORDERS << nj.SKETCH_BITS)
+        held = counts[nj._counter(own, order)]
+        assert held[:1000].min() > np.quantile(held[1000:], 0.9)
