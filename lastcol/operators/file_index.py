@@ -5,7 +5,8 @@ segments; an update lists the files, reads those that are new or have changed
 into a new segment, and publishes a new version, whose file table says which
 segment speaks for which file.  Rows of files that are gone, or that a later
 segment holds anew, stay on disk but count no more, until segments are merged
-(from the index's own rows: no source file is read for that).
+(from the index's own rows: no source file is read for that, and what an update
+reads is merged on the way).
 
 A segment has ``records`` ``(row_no, record_id, file, content)`` and ``lists``
 ``(gram, rows, at)``: for some megabytes of text, the three characters that begin at a
@@ -37,7 +38,7 @@ from lastcol.functions import chars, pattern_grams
 from lastcol.functions.arrow import code_points, gathered, gram_keys, grams_of
 from lastcol.functions.text import escaped_path, file_name
 from lastcol.operators.search import _check, keyword_search
-from lastcol.session import spread
+from lastcol.session import COMPACT, spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -154,10 +155,11 @@ def _write_segment(records: DataFrame, path: str) -> str:
     base = f"{path}/segments/{name}"
     seg = F.lit(name).alias("segment")
     (records.repartitionByRange("file", "record_id").sortWithinPartitions("file", "record_id")
-     .select(seg, F.monotonically_increasing_id().alias("row_no"), "record_id", "file", "content").write.parquet(f"{base}/records"))
+     .select(seg, F.monotonically_increasing_id().alias("row_no"), "record_id", "file", "content")
+     .write.options(**COMPACT).parquet(f"{base}/records"))
     own = spark.read.schema("row_no long, content string").parquet(f"{base}/records")
     (positional_lists(own).select(seg, "gram", "rows", "at")
-     .write.option("parquet.page.row.count.limit", PAGE_ROWS).parquet(f"{base}/lists"))
+     .write.options(**COMPACT).option("parquet.page.row.count.limit", PAGE_ROWS).parquet(f"{base}/lists"))
     return name
 
 
@@ -206,8 +208,14 @@ def update_index(spark: SparkSession, view: FileView, path: str, merge_at: int =
         return index
     files = kept
     if new:
-        segment = _write_segment(view.records(spark, [r["path"] for r in new]), path)
+        records = view.records(spark, [r["path"] for r in new])
+        segments = [] if kept is None else sorted(r["segment"] for r in kept.select("segment").distinct().collect())
+        merges = bool(segments) and len(segments) + 1 > merge_at
+        if merges:  # what is read joins the segments' rows, and is written once
+            records = _live(FileIndex(spark, path, kept, segments)).unionByName(records)
+        segment = _write_segment(records, path)
         added = spark.createDataFrame([(*r[:3], segment) for r in new], _FILES)
+        files = kept = kept.withColumn("segment", F.lit(segment)) if merges else kept
         files = added if kept is None else kept.unionByName(added)
     elif kept is None:
         files = spark.createDataFrame([], _FILES)
@@ -218,10 +226,13 @@ def update_index(spark: SparkSession, view: FileView, path: str, merge_at: int =
     return out
 
 
+def _live(index: FileIndex) -> DataFrame:
+    return index.rows.join(index.records, ["segment", "row_no"]).select("file", "record_id", "content")
+
+
 def merge_segments(index: FileIndex, spec: str) -> FileIndex:
     """All live rows in one segment, from the index's own tables."""
-    live = index.rows.join(index.records, ["segment", "row_no"]).select("file", "record_id", "content")
-    segment = _write_segment(live, index.path)
+    segment = _write_segment(_live(index), index.path)
     return _publish(index.spark, index.path, index.files.withColumn("segment", F.lit(segment)), spec)
 
 

@@ -143,3 +143,17 @@ def test_positions_are_listed_by_part_and_not_shuffled(spark, monkeypatch):
     assert sorted(got) == sorted((t[k:k + 3], i, k + 1) for i, t in enumerate(texts) for k in range(len(t)))
     df = spark.createDataFrame(list(enumerate(texts)), "row_no long, content string")
     assert "rangepartitioning" not in fi.positional_lists(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_an_update_that_merges_writes_its_rows_once(spark, tmp_path):
+    """Not as a segment of its own first; lists are stored by differences."""
+    import pyarrow.parquet as pq
+    folder, path = tmp_path / "in", tmp_path / "idx"
+    view = fi.FileView(str(folder), "id", "text")
+    for i in range(3):
+        put(spark, folder, f"{i}.parquet", rows(i, 100 * i, 20))
+        index = fi.update_index(spark, view, str(path), merge_at=2)
+    assert len(index.segments) == 1 and len(list((path / "segments").iterdir())) == 3
+    files = [pq.ParquetFile(f) for f in (path / "segments" / index.segments[0] / "lists").glob("*.parquet")]
+    assert {f.metadata.row_group(0).column(2).compression for f in files if f.metadata.num_rows} == {"ZSTD"}
+    same_as_scan(spark, folder, index)
